@@ -41,9 +41,19 @@ def numeric_text(c: Column | str) -> Column:
     """Text -> double; text that is not a number gives null. Overflow and
     NaN give null, spelled-out infinity gives infinity."""
     t = trim_text(c)
-    # Non-matching text extracts as "" and casts to null.
-    v = F.regexp_extract(t, _FINITE_NUMBER, 0).try_cast("double")
-    lt = F.lower(t)
+    return finite_or_infinite(number_of(t), t)
+
+
+def number_of(trimmed: Column | str) -> Column:
+    """The value of trimmed text that is a finite-looking number, else null
+    (non-matching text extracts as "" and casts to null)."""
+    return F.regexp_extract(col_of(trimmed), _FINITE_NUMBER, 0).try_cast("double")
+
+
+def finite_or_infinite(value: Column | str, trimmed: Column | str) -> Column:
+    """``value`` when finite (overflow gives null); spelled-out infinity
+    from the trimmed text."""
+    v, lt = col_of(value), F.lower(col_of(trimmed))
     return (F.when(F.abs(v) < F.lit(_POS_INF), v)
             .when(lt.isin(*_INF_TEXT), F.lit(_POS_INF))
             .when(lt.isin(*_NEG_INF_TEXT), F.lit(-_POS_INF)))
@@ -54,12 +64,22 @@ def default_unit(c: Column | str, default: str = codes.DEFAULT_UNIT) -> Column:
     return F.coalesce(F.nullif(col_of(c), F.lit("")), F.lit(default))
 
 
-def to_mg(value: Column | str, unit: Column | str) -> Column:
+def unit_key(unit: Column | str) -> Column:
+    """Trimmed, lower-cased unit: the key of ``codes.MG_CONVERSIONS``."""
+    return F.lower(trim_text(unit))
+
+
+def to_mg(value: Column | str, unit: Column | str, unit_is_key: bool = False) -> Column:
     """Dose in milligrams for mass units, null for any other unit or a
     missing dose. Multiplies or divides exactly as listed in
-    ``codes.MG_CONVERSIONS`` so results agree bit for bit."""
+    ``codes.MG_CONVERSIONS`` so results agree bit for bit.
+
+    The unit is compared once per branch; pass ``unit_is_key=True`` with a
+    column that already holds :func:`unit_key` (projected beforehand) so the
+    trimming is not repeated in every branch.
+    """
     v = col_of(value)
-    u = F.lower(trim_text(unit))
+    u = col_of(unit) if unit_is_key else unit_key(unit)
     out = None
     for name, (op, factor) in codes.MG_CONVERSIONS.items():
         conv = v * F.lit(factor) if op == "*" else v / F.lit(factor)

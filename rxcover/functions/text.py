@@ -17,8 +17,16 @@ def col_of(c: Column | str) -> Column:
 
 
 def trim_text(c: Column | str) -> Column:
-    """Strip leading and trailing Unicode whitespace; null stays null."""
-    return F.btrim(col_of(c), F.lit(WHITESPACE))
+    """Strip leading and trailing Unicode whitespace; null stays null.
+
+    Most values have nothing to strip, so the first and last characters are
+    looked up in the set before the trim itself runs (an empty value also
+    passes the test, and trims to itself).
+    """
+    x = col_of(c)
+    ws = F.lit(WHITESPACE)
+    edge = (F.instr(ws, F.substring(x, 1, 1)) > 0) | (F.instr(ws, F.substring(x, -1, 1)) > 0)
+    return F.when(edge, F.btrim(x, ws)).otherwise(x)
 
 
 def strip_namespace(c: Column | str) -> Column:

@@ -41,8 +41,7 @@ def prepare(spine: DataFrame, levels: int = 4, antibiotic: str = "any") -> DataF
         *[atc_level(atc, n).alias(f"atc_level{n}_code") for n in (1, 2, 3, 4)],
         has_code(bnf).alias("has_bnf"),
         has_code(atc).alias("has_atc"),
-    ).withColumn("mapping_status", mapping_status("has_atc", "has_bnf", levels)
-    ).withColumn("is_antibiotic", abx)
+    ).select("*", mapping_status("has_atc", "has_bnf", levels).alias("mapping_status"), abx.alias("is_antibiotic"))
 
 
 def antibiotics(prepared: DataFrame, antibiotic: str = "any") -> DataFrame:

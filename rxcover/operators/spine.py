@@ -25,7 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rxcover import codes
-from rxcover.functions.dose import default_unit, numeric_text, to_mg
+from rxcover.functions.dose import default_unit, finite_or_infinite, number_of, numeric_text, to_mg, unit_key
+from rxcover.functions.text import trim_text
 
 SPINE_COLUMNS = ("vpid", "vmp_nm", "vtmid", "vpid_prev", "bnf_code", "atc_code", "ddd", "ddd_uom", "ddd_mg")
 
@@ -51,14 +52,12 @@ def assert_unique(df: DataFrame, key: str = "vpid") -> None:
 def join_one_to_many(left: DataFrame, right: DataFrame, key: str = "vpid") -> DataFrame:
     """``left LEFT JOIN right USING (key)`` for a left side with unique keys,
     in the skew-splittable form described in the module docstring."""
-    left_cols = [c for c in left.columns]
-    right_cols = [c for c in right.columns if c != key]
-    matched = right.join(left, key, "inner")
-    unmatched = left.join(right.select(key).distinct(), key, "left_anti")
-    for c in right_cols:
-        unmatched = unmatched.withColumn(c, F.lit(None).cast(right.schema[c].dataType))
-    out = matched.select(*left_cols, *right_cols).unionByName(unmatched.select(*left_cols, *right_cols))
-    return out
+    left_cols = list(left.columns)
+    right_types = {f.name: f.dataType for f in right.schema.fields if f.name != key}
+    matched = right.join(left, key, "inner").select(*left_cols, *right_types)
+    unmatched = left.join(right.select(key).distinct(), key, "left_anti").select(
+        *left_cols, *[F.lit(None).cast(t).alias(c) for c, t in right_types.items()])
+    return matched.unionByName(unmatched)
 
 
 def fallback_rule(name: Column, ddd: Column, rules=codes.FALLBACK_RULES) -> Column:
@@ -86,25 +85,21 @@ def apply_fallbacks(df: DataFrame, rules=codes.FALLBACK_RULES, rule_column: str
     as it was before patching, so the first matching rule wins. The ATC code
     is patched only where it is null (an empty code stays); the unit only
     where ``unit_missing`` holds (default: unit is null)."""
-    rule = fallback_rule(F.col("vmp_nm"), F.col("ddd"), rules)
-    hit = F.col("_rule").isNotNull()
     um = F.col("ddd_uom").isNull() if unit_missing is None else unit_missing
-    out = df.withColumn("_rule", rule).withColumn("_um", um)
-    cols = []
-    for c in df.columns:
-        if c == "ddd":
-            cols.append(F.when(hit, _by_rule(F.col("_rule"), rules, 1)).otherwise(F.col("ddd")).alias("ddd"))
-        elif c == "ddd_uom":
-            cols.append(F.when(hit & F.col("_um"), _by_rule(F.col("_rule"), rules, 2))
-                        .otherwise(F.col("ddd_uom")).alias("ddd_uom"))
-        elif c == "atc_code":
-            cols.append(F.when(hit & F.col("atc_code").isNull(), _by_rule(F.col("_rule"), rules, 3))
-                        .otherwise(F.col("atc_code")).alias("atc_code"))
-        else:
-            cols.append(F.col(c))
+    ruled = df.select("*", fallback_rule(F.col("vmp_nm"), F.col("ddd"), rules).alias("_rule"),
+                      um.alias("_um"))
+    rule = F.col("_rule")
+    hit = rule.isNotNull()
+    patch = {
+        "ddd": F.when(hit, _by_rule(rule, rules, 1)).otherwise(F.col("ddd")),
+        "ddd_uom": F.when(hit & F.col("_um"), _by_rule(rule, rules, 2)).otherwise(F.col("ddd_uom")),
+        "atc_code": F.when(hit & F.col("atc_code").isNull(), _by_rule(rule, rules, 3))
+                     .otherwise(F.col("atc_code")),
+    }
+    cols = [patch[c].alias(c) if c in patch else F.col(c) for c in df.columns]
     if rule_column:
-        cols.append(F.when(hit, _by_rule(F.col("_rule"), rules, 0)).alias(rule_column))
-    return out.select(*cols)
+        cols.append(F.when(hit, _by_rule(rule, rules, 0)).alias(rule_column))
+    return ruled.select(*cols)
 
 
 def type_and_patch(joined: DataFrame, fallback_unit_first: bool = False,
@@ -115,13 +110,15 @@ def type_and_patch(joined: DataFrame, fallback_unit_first: bool = False,
     with no unit keeps ``mg``; ``fallback_unit_first=True`` lets the rule's
     unit fill a missing (null or empty) unit first.
     """
-    df = (joined.withColumn("vpid", F.col("vpid").cast("string"))
-          .withColumn("vtmid", F.col("vtmid").cast("string")))
-    if dict(df.dtypes)["ddd"] == "string":
-        df = df.withColumn("ddd", numeric_text("ddd"))
-    has_unit = "ddd_uom" in df.columns
+    types = dict(joined.dtypes)
+    typed = {"vpid": F.col("vpid").cast("string"), "vtmid": F.col("vtmid").cast("string")}
+    if types["ddd"] == "string":
+        typed["ddd"] = numeric_text("ddd")
+    has_unit = "ddd_uom" in types
+    if has_unit and not fallback_unit_first:
+        typed["ddd_uom"] = default_unit("ddd_uom")
+    df = joined.select(*[typed[c].alias(c) if c in typed else F.col(c) for c in joined.columns])
     if has_unit and not fallback_unit_first:
-        df = df.withColumn("ddd_uom", default_unit("ddd_uom"))
         df = apply_fallbacks(df, rule_column=rule_column)
     elif has_unit:
         missing = F.col("ddd_uom").isNull() | (F.col("ddd_uom") == "")
@@ -130,15 +127,25 @@ def type_and_patch(joined: DataFrame, fallback_unit_first: bool = False,
     else:
         df = apply_fallbacks(df, rule_column=rule_column, unit_missing=F.lit(False))
     if has_unit:
-        df = df.withColumn("ddd_mg", to_mg("ddd", "ddd_uom"))
+        # The unit key is projected once; Catalyst keeps the projection
+        # because the conversion reads it in every branch.
+        cols = df.columns
+        df = (df.select("*", unit_key("ddd_uom").alias("_unit_key"))
+              .select(*cols, to_mg("ddd", "_unit_key", unit_is_key=True).alias("ddd_mg")))
     return df
 
 
 def parse_dose(bnf: DataFrame) -> DataFrame:
-    """Classification records with the dose text parsed to double."""
-    if dict(bnf.dtypes).get("ddd") == "string":
-        return bnf.withColumn("ddd", numeric_text("ddd"))
-    return bnf
+    """Classification records with the dose text parsed to double. The
+    trimmed text and its value are projected once, so the regex runs once
+    per row although the final expression reads them in several branches."""
+    if dict(bnf.dtypes).get("ddd") != "string":
+        return bnf
+    keep = [c for c in bnf.columns if c != "ddd"]
+    return (bnf.select(*keep, trim_text("ddd").alias("_ddd_text"))
+            .select(*keep, "_ddd_text", number_of("_ddd_text").alias("_ddd_value"))
+            .select(*[finite_or_infinite("_ddd_value", "_ddd_text").alias("ddd") if c == "ddd" else F.col(c)
+                      for c in bnf.columns]))
 
 
 def sort_spine(spine: DataFrame) -> DataFrame:

@@ -34,12 +34,14 @@ def product_records(raw: DataFrame) -> DataFrame:
 
 def classification_records(raw: DataFrame) -> DataFrame:
     """Trimmed classification records; the unit is the unit code if there is
-    one, else the unit text, translated through the unit code table."""
-    t = {c: text_or_empty(c) for c in RAW_CLASSIFICATION_COLUMNS}
-    return raw.select(
-        t["vpid"].alias("vpid"),
-        t["bnf_code"].alias("bnf_code"),
-        t["atc_code"].alias("atc_code"),
-        t["ddd"].alias("ddd"),
-        resolve_unit(t["ddd_uomcd"], t["ddd_uom"]).alias("ddd_uom"),
+    one, else the unit text, translated through the unit code table.
+
+    Trimming is projected first: the unit resolution reads each trimmed
+    value more than once, and Catalyst keeps a projection whose non-trivial
+    columns are read repeatedly instead of inlining them into every branch.
+    """
+    trimmed = raw.select(*[text_or_empty(c).alias(c) for c in RAW_CLASSIFICATION_COLUMNS])
+    return trimmed.select(
+        "vpid", "bnf_code", "atc_code", "ddd",
+        resolve_unit("ddd_uomcd", "ddd_uom").alias("ddd_uom"),
     )

@@ -12,6 +12,8 @@ and add no shuffle.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,8 +30,36 @@ _UNIT_CODES = {0: "258684004", 1: "258682000", 2: "258685003", 3: "258774008", 4
 _UNIT_TEXTS = {5: " G ", 6: "kg", 7: "µg", 0: "ignored"}
 
 
+# Local inputs up to this size are spread over the default parallelism after
+# the scan. A Parquet row group is never split, so a small table written as a
+# single row group is read by one task however many cores there are; hashing
+# a few MB across the cores removes that bottleneck. Inputs on a cluster file
+# system, or larger than this, already arrive in many splits and are read as
+# they are, with no added shuffle.
+SPREAD_MAX_BYTES = 256 * 1024 * 1024
+
+
+def _local_bytes(files: list[str]) -> int | None:
+    total = 0
+    for f in files:
+        if not f.startswith("file:"):
+            return None
+        path = f[len("file:"):]
+        while path.startswith("//"):
+            path = path[1:]
+        try:
+            total += os.path.getsize(path)
+        except OSError:
+            return None
+    return total
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    size = _local_bytes(df.inputFiles())
+    if size is not None and size <= SPREAD_MAX_BYTES:
+        df = df.repartition(spark.sparkContext.defaultParallelism, df.columns[0])
+    return df
 
 
 def _by_mod(key: Column, mod: int, values: dict[int, str], default: Column | str) -> Column:
