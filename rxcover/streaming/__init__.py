@@ -1,0 +1,5 @@
+"""Release refresh as a Structured Streaming query (see ``refresh``)."""
+
+from rxcover.streaming.refresh import RELEASE_SCHEMA, start_release_refresh
+
+__all__ = ["RELEASE_SCHEMA", "start_release_refresh"]

@@ -1,0 +1,45 @@
+"""Rebuild on each new release.
+
+The source data is not a stream: a full release arrives on a schedule and
+replaces the previous one. That cadence is expressed with Structured
+Streaming over *release announcements*: one JSON line per release, naming
+its product and classification folders, dropped into an announcement
+folder. The file source tracks which announcements were processed in the
+checkpoint, so a restarted refresh neither misses nor repeats a release;
+``foreachBatch`` runs the full build for the newest release of each
+micro-batch (older ones in the same batch are superseded, since every build
+replaces all outputs). With ``trigger(availableNow=True)`` the query
+processes what has arrived and stops, which suits a scheduled job; without
+it, it keeps polling.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from rxcover.build import run_build
+from rxcover.session import scratch_path
+
+RELEASE_SCHEMA = "release STRING, products_dir STRING, classifications_dir STRING"
+
+
+def start_release_refresh(spark: SparkSession, announcements_dir: str, out_dir: str,
+                          checkpoint: str | None = None, row_tags=("VMP",), database: str | None = None,
+                          available_now: bool = True) -> StreamingQuery:
+    """Start the refresh query; returns the running ``StreamingQuery``."""
+    checkpoint = checkpoint or scratch_path(spark, "release_refresh")
+
+    def rebuild(batch: DataFrame, batch_id: int) -> None:
+        # One row per announced release in this batch; only the newest is built.
+        newest = batch.orderBy(F.desc("release")).limit(1).collect()
+        if newest:
+            r = newest[0]
+            run_build(batch.sparkSession, r["products_dir"], r["classifications_dir"], out_dir,
+                      row_tags=row_tags, database=database)
+
+    writer = (spark.readStream.schema(RELEASE_SCHEMA).json(announcements_dir)
+              .writeStream.foreachBatch(rebuild).option("checkpointLocation", checkpoint))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 hour")
+    return writer.start()

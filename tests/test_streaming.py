@@ -1,0 +1,30 @@
+"""Release refresh: announcements drive rebuilds, each release once."""
+
+import json
+
+from rxcover.streaming import start_release_refresh
+from tests import fixtures as fx
+
+
+def announce(folder, name, release, item24, item25):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text(json.dumps(
+        {"release": release, "products_dir": item24, "classifications_dir": item25}) + "\n")
+
+
+def test_release_refresh(spark, tmp_path):
+    item24, item25 = fx.release(tmp_path / "r1")
+    ann, out, ckpt = tmp_path / "ann", str(tmp_path / "out"), str(tmp_path / "ckpt")
+    announce(ann, "a1.json", "2026-01-06", item24, item25)
+    q = start_release_refresh(spark, str(ann), out, checkpoint=ckpt, row_tags=("VMP", "REC"))
+    q.awaitTermination(120)
+    assert spark.read.parquet(f"{out}/spine.parquet").count() == 6
+
+    # A second release with one product less replaces the outputs.
+    fx.write(tmp_path / "r2", "item_24/f_vmp2_2.xml", fx.VMP_XML.replace("<VMP><NM>No key</NM></VMP>", ""))
+    fx.write(tmp_path / "r2", "item_25/f_bnf1_2.xml", fx.BNF_XML)
+    announce(ann, "a2.json", "2026-01-13", str(tmp_path / "r2" / "item_24"), str(tmp_path / "r2" / "item_25"))
+    q = start_release_refresh(spark, str(ann), out, checkpoint=ckpt, row_tags=("VMP", "REC"))
+    q.awaitTermination(120)
+    assert spark.read.parquet(f"{out}/spine.parquet").count() == 5
+    assert q.lastProgress is None or q.lastProgress["numInputRows"] == 1
