@@ -57,7 +57,8 @@ def run_build(spark: SparkSession, products_dir: str, classifications_dir: str,
     writers.write_csv(spine, paths.spine_csv)
 
     if database:
-        paths.tables = writers.save_tables(spark, {"vmp": vmp, "bnf": bnf, "spine": spine}, database)
+        paths.tables = writers.save_tables(spark, {"vmp": vmp, "bnf": bnf, "spine": spine}, database,
+                                           location=f"{out}/tables")
     paths.metrics = {r["metric"]: r["value"] for r in build_metrics(vmp, bnf, spine).collect()}
     return paths
 

@@ -206,7 +206,7 @@ FROM spine_patched WHERE rule IS NOT NULL""",
 UNION ALL SELECT 'bnf_rows', count(*) FROM bnf
 UNION ALL SELECT 'spine_rows', count(*) FROM spine
 UNION ALL SELECT 'non_null_atc', count(atc_code) FROM spine
-UNION ALL SELECT 'with_atc', count_if(atc_code IS NOT NULL AND atc_code <> '') FROM spine""",
+UNION ALL SELECT 'with_atc', count(*) FILTER (WHERE atc_code IS NOT NULL AND atc_code <> '') FROM spine""",
     # classification
     "prepared": "SELECT * FROM prepared",
     "atc_levels": """SELECT atc_code, atc_level1_code, atc_level2_code, atc_level3_code, atc_level4_code, count(*) AS n
@@ -233,7 +233,7 @@ FROM ({_coverage()})""",
 FROM (SELECT {_group_other('atc_level1_code')} AS atc_group, mapping_status, count(*) AS n
       FROM prepared WHERE has_atc GROUP BY 1, 2)""",
     "group_gap_rate": f"""SELECT atc_group, total, unmapped, unmapped / total AS pct_unmapped
-FROM (SELECT {_group_code('atc_level1_code')} AS atc_group, count(*) AS total, count_if(NOT has_atc) AS unmapped
+FROM (SELECT {_group_code('atc_level1_code')} AS atc_group, count(*) AS total, count(*) FILTER (WHERE NOT has_atc) AS unmapped
       FROM prepared WHERE atc_code IS NOT NULL AND atc_code <> '' GROUP BY 1)
 WHERE total >= {codes.MIN_GROUP_SIZE}""",
     "abx_subclass": """SELECT j01_class, mapping_status, n, CAST(sum(n) OVER (PARTITION BY j01_class) AS BIGINT) AS total,
@@ -245,11 +245,11 @@ FROM (SELECT j01_class, mapping_status, count(*) AS n FROM antibiotics GROUP BY
 FROM (SELECT atc_level4_code, atc_level3_code, count(*) AS n, {_class_code('atc_level3_code')} AS j01_class
       FROM antibiotics WHERE has_atc GROUP BY 1, 2)""",
     "abx_ddd": """SELECT j01_class, total, with_ddd, with_ddd / total AS pct_ddd
-FROM (SELECT j01_class, count(*) AS total, count_if(ddd IS NOT NULL) AS with_ddd FROM antibiotics GROUP BY 1)""",
+FROM (SELECT j01_class, count(*) AS total, count(*) FILTER (WHERE ddd IS NOT NULL) AS with_ddd FROM antibiotics GROUP BY 1)""",
     "abx_ddd_labels": f"""SELECT j01_class, total, with_ddd, pct_ddd,
        {_pct('pct_ddd', 0)} || chr(10) || '(' || CAST(with_ddd AS VARCHAR) || '/' || CAST(total AS VARCHAR) || ')' AS label
 FROM (SELECT j01_class, total, with_ddd, with_ddd / total AS pct_ddd
-      FROM (SELECT j01_class, count(*) AS total, count_if(ddd IS NOT NULL) AS with_ddd FROM antibiotics GROUP BY 1))""",
+      FROM (SELECT j01_class, count(*) AS total, count(*) FILTER (WHERE ddd IS NOT NULL) AS with_ddd FROM antibiotics GROUP BY 1))""",
     "abx_gap": f"""SELECT status, n, pct, {_comma('n')} || chr(10) || '(' || {_pct('pct', 1)} || ')' AS label
 FROM (SELECT status, n, n / sum(n) OVER () AS pct
       FROM (SELECT CASE WHEN has_atc THEN {_lit(codes.GAP_MAPPED)} ELSE {_lit(codes.GAP_MISSING)} END AS status,
@@ -261,8 +261,8 @@ FROM (SELECT status, n, n / sum(n) OVER () AS pct
   UNION ALL SELECT total, 'Unmapped', unmapped FROM w)""",
     "summary": """SELECT total, with_bnf, with_bnf / total * 100 AS pct_bnf, with_atc, with_atc / total * 100 AS pct_atc,
        antibiotics
-FROM (SELECT count(*) AS total, count_if(has_bnf) AS with_bnf, count_if(has_atc) AS with_atc,
-             count_if(is_antibiotic) AS antibiotics FROM prepared)""",
+FROM (SELECT count(*) AS total, count(*) FILTER (WHERE has_bnf) AS with_bnf, count(*) FILTER (WHERE has_atc) AS with_atc,
+             count(*) FILTER (WHERE is_antibiotic) AS antibiotics FROM prepared)""",
     "abx_missing": "SELECT " + ", ".join(f"{c} AS {_quoted(h)}" for c, h in codes.ABX_MISSING_HEADERS.items())
                    + " FROM antibiotics WHERE NOT has_atc",
     # dose explorer
@@ -280,8 +280,8 @@ WHERE ddd IS NOT NULL AND vmp_nm IS NOT NULL AND length(vmp_nm) > 0""",
 
 # Extra CTEs some bodies need.
 _EXTRA = {
-    "abx_status_long": """, w AS (SELECT count(*) AS total, count_if(has_atc AND has_bnf) AS fully_mapped,
-       count_if(has_bnf AND NOT has_atc) AS bnf_only, count_if(NOT has_bnf AND NOT has_atc) AS unmapped
+    "abx_status_long": """, w AS (SELECT count(*) AS total, count(*) FILTER (WHERE has_atc AND has_bnf) AS fully_mapped,
+       count(*) FILTER (WHERE has_bnf AND NOT has_atc) AS bnf_only, count(*) FILTER (WHERE NOT has_bnf AND NOT has_atc) AS unmapped
   FROM antibiotics)
 """,
 }

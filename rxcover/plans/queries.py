@@ -59,8 +59,20 @@ def spine(spark: SparkSession, sf: str, validate: bool = False, **kw) -> DataFra
     return sp.build_spine(vmp(spark, sf), bnf(spark, sf), validate=validate, **kw)
 
 
+def spine_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The spine as the build writes it (Parquet under the shared scratch
+    folder, built once per process from the test tables). Reports, the
+    classification queries and the dose explorer read this table, as the
+    report and dashboard read the built spine: their scans prune columns and
+    take pushed filters, and their filters are never inlined back into the
+    build's expressions."""
+    def write(path: str) -> None:
+        writers.write_parquet(spine(spark, sf), path)
+    return spark.read.parquet(_once(spark, sf, "spine_table", write))
+
+
 def prepared(spark: SparkSession, sf: str, **kw) -> DataFrame:
-    return pr.prepare(spine(spark, sf), **kw)
+    return pr.prepare(spine_table(spark, sf), **kw)
 
 
 def abx(spark: SparkSession, sf: str) -> DataFrame:
@@ -68,7 +80,7 @@ def abx(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lookup_table(spark: SparkSession, sf: str) -> DataFrame:
-    return lk.ddd_lookup(spine(spark, sf))
+    return lk.ddd_lookup(spine_table(spark, sf))
 
 
 def lookup_order():
@@ -78,7 +90,7 @@ def lookup_order():
 # written inputs (once per process, scratch folder and input folder)
 
 _written: dict[tuple[str, str], str] = {}
-_lock = threading.Lock()
+_lock = threading.RLock()
 
 
 def _sf_key(sf: str) -> str:
@@ -374,7 +386,7 @@ def q_ddd_lookup(spark, sf):
 
 
 def q_ddd_lookup_names(spark, sf):
-    return lk.ddd_lookup_names(spine(spark, sf))
+    return lk.ddd_lookup_names(spine_table(spark, sf))
 
 
 def q_ddd_search(spark, sf):

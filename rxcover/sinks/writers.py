@@ -29,13 +29,21 @@ def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
 def save_tables(spark: SparkSession, tables: dict[str, DataFrame], database: str,
                 location: str | None = None) -> dict[str, str]:
     """Replace catalog tables ``database.<name>`` with the given DataFrames;
-    the database is created when absent. Returns the qualified names."""
+    the database is created when absent. Returns the qualified names.
+
+    With ``location`` each table is stored at ``<location>/<name>`` (an
+    external table), so a rebuild replaces it whether or not the catalog
+    still lists it; without, they are managed tables of the warehouse.
+    """
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{loc}")
     names = {}
     for name, df in tables.items():
         qualified = f"`{database}`.`{name}`"
-        df.write.mode("overwrite").format("parquet").saveAsTable(qualified)
+        w = df.write.mode("overwrite").format("parquet")
+        if location:
+            w = w.option("path", f"{location.rstrip('/')}/{name}")
+        w.saveAsTable(qualified)
         names[name] = qualified
     return names
 

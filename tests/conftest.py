@@ -11,7 +11,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from rxcover.session import local_session
 
-    s = local_session(cores="*", shuffle_partitions=8)
+    s = local_session(cores="*", shuffle_partitions=8,
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="rxcover-test-wh-")})
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="rxcover-test-ckpt-"))
     yield s

@@ -31,10 +31,21 @@ def test_csv_prints_empty_and_null_as_nothing(spark, tmp_path):
 
 
 def test_catalog_tables_replace(spark, tmp_path):
-    names = writers.save_tables(spark, {"spine": frame(spark)}, "rxcover_test", location=str(tmp_path / "db"))
+    loc = str(tmp_path / "db")
+    names = writers.save_tables(spark, {"spine": frame(spark)}, "rxcover_test", location=loc)
     assert spark.table(names["spine"]).count() == 3
-    writers.save_tables(spark, {"spine": frame(spark).limit(1)}, "rxcover_test")
+    writers.save_tables(spark, {"spine": frame(spark).limit(1)}, "rxcover_test", location=loc)
     assert spark.table(names["spine"]).count() == 1
+    # a new session's catalog no longer lists the table; the rebuild still replaces it
+    spark.sql("DROP TABLE rxcover_test.spine")
+    writers.save_tables(spark, {"spine": frame(spark)}, "rxcover_test", location=loc)
+    assert spark.table(names["spine"]).count() == 3
+
+
+def test_catalog_managed_tables(spark):
+    names = writers.save_tables(spark, {"t": frame(spark)}, "rxcover_managed_test")
+    writers.save_tables(spark, {"t": frame(spark).limit(2)}, "rxcover_managed_test")
+    assert spark.table(names["t"]).count() == 2
 
 
 def test_write_reports(spark, tmp_path):
