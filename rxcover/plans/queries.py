@@ -170,7 +170,7 @@ def q_load_status(spark, sf):
     return tables.load_status(spark, {
         "part": f"{base}/part.parquet",
         "lineitem": f"{base}/lineitem.parquet",
-        "spine": f"{base}/dmd_full_mapping.parquet",
+        "spine": f"{base}/spine.parquet",
     })
 
 
