@@ -58,9 +58,13 @@ def _first(tag: str):
     return F.try_element_at(F.col(tag), F.lit(1))
 
 
-def _guard(df: DataFrame, what: str, check_rows: bool) -> DataFrame:
+def _require_files(df: DataFrame, what: str) -> None:
     if not df.inputFiles():
         raise NoRecordsError(f"no {what} XML files found")
+
+
+def _require_rows(df: DataFrame, what: str, check_rows: bool) -> DataFrame:
+    # isEmpty runs a job that stops at the first record.
     if check_rows and df.isEmpty():
         raise NoRecordsError(f"{what} records are empty")
     return df
@@ -71,9 +75,9 @@ def read_products_xml(spark: SparkSession, path: str, name_glob: str = PRODUCT_F
     """Product records (vpid, vmp_nm, vtmid, vpid_prev) from XML files.
     Every ``row_tag`` element is a record, with ``""`` for absent children."""
     raw = read_xml_records(spark, path, row_tag, PRODUCT_TAGS.values(), name_glob)
-    _guard(raw, "product", False)
+    _require_files(raw, "product")
     out = product_records(raw.select(*[_first(t).alias(c) for c, t in PRODUCT_TAGS.items()]))
-    return _guard(out, "product", check_rows)
+    return _require_rows(out, "product", check_rows)
 
 
 def read_classifications_xml(spark: SparkSession, path: str, name_glob: str = CLASSIFICATION_FILES,
@@ -94,8 +98,8 @@ def read_classifications_xml(spark: SparkSession, path: str, name_glob: str = CL
     raw_all = parts[0]
     for p in parts[1:]:
         raw_all = raw_all.unionByName(p)
-    _guard(raw_all, "classification", False)
-    return _guard(classification_records(raw_all), "classification", check_rows)
+    _require_files(raw_all, "classification")
+    return _require_rows(classification_records(raw_all), "classification", check_rows)
 
 
 def write_xml_records(df: DataFrame, path: str, row_tag: str, root_tag: str, tags: dict[str, str],
