@@ -108,3 +108,11 @@ def test_search_and_page(prepared):
     order = [F.col(c).asc_nulls_last() for c in ("atc_code", "ddd", "ddd_uom", "ddd_mg")]
     assert [r["atc_code"] for r in op.page(look, 2, 3, order).collect()] == ["N02BE01"]
     assert [r["atc_code"] for r in op.page(look, 1, 3, order).collect()] == ["", "J01CA04", "J01CR02"]
+
+
+def test_ddd_lookup_names_binary_order(spark):
+    rows = spark.createDataFrame(
+        [("alpha", "A", 1.0, "mg", 1.0), ("Zeta", "A", 1.0, "mg", 1.0), ("Éclair", "A", 1.0, "mg", 1.0),
+         ("alpha", "A", 1.0, "mg", 1.0), ("beta", "A", 1.0, "mg", 1.0)],
+        "vmp_nm string, atc_code string, ddd double, ddd_uom string, ddd_mg double")
+    assert op.ddd_lookup(rows).first()["drug_names"] == "Zeta | alpha | beta | Éclair"
