@@ -68,7 +68,11 @@ def spine_table(spark: SparkSession, sf: str) -> DataFrame:
     build's expressions."""
     def write(path: str) -> None:
         writers.write_parquet(spine(spark, sf), path)
-    return spark.read.parquet(_once(spark, sf, "spine_table", write))
+    path = _once(spark, sf, "spine_table", write)
+    held = _handles.get(path)
+    if held is None or held[0] is not spark:
+        held = _handles[path] = (spark, spark.read.parquet(path))
+    return held[1]
 
 
 def prepared(spark: SparkSession, sf: str, **kw) -> DataFrame:
@@ -90,6 +94,8 @@ def lookup_order():
 # written inputs (once per process, scratch folder and input folder)
 
 _written: dict[tuple[str, str], str] = {}
+# Handles of written tables, per session (written once, then only read).
+_handles: dict[str, tuple[SparkSession, DataFrame]] = {}
 _lock = threading.RLock()
 
 

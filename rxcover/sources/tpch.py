@@ -54,11 +54,21 @@ def _local_bytes(files: list[str]) -> int | None:
     return total
 
 
+# Read-only inputs: one DataFrame handle per session and path (the plan is
+# immutable; every query still runs it in full).
+_handles: dict[str, tuple[SparkSession, DataFrame]] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    held = _handles.get(path)
+    if held is not None and held[0] is spark:
+        return held[1]
+    df = spark.read.parquet(path)
     size = _local_bytes(df.inputFiles())
     if size is not None and size <= SPREAD_MAX_BYTES:
         df = df.repartition(spark.sparkContext.defaultParallelism, df.columns[0])
+    _handles[path] = (spark, df)
     return df
 
 
