@@ -54,26 +54,36 @@ def ddd_lookup_names(df: DataFrame) -> DataFrame:
     return slim.filter(_name_ok(F.col("vmp_nm"))).select(*keys, F.col("vmp_nm").alias("drug_name")).distinct()
 
 
+def shown(c: str, dtype: str) -> Column:
+    """A cell as the table shows it: whole numbers without a decimal part
+    (``1500.0`` shows as ``1500``), other values as text."""
+    x = F.col(c)
+    if dtype in ("double", "float"):
+        whole = (x == F.floor(x)) & (F.abs(x) < F.lit(1e15))
+        return F.when(whole, x.cast("bigint").cast("string")).otherwise(x.cast("string"))
+    return x.cast("string")
+
+
 def ddd_search(lookup: DataFrame, term: str | None = None,
                column_terms: dict[str, str] | None = None) -> DataFrame:
     """Rows of the lookup matching a search.
 
     ``term`` is split on whitespace and every word must occur, ignoring
-    case, in at least one text column of the row (``atc_code``, ``ddd_uom``,
-    ``drug_names``). ``column_terms`` adds per-column filters: the column's
-    text must contain the term, ignoring case.
+    case, in at least one cell of the row as shown. ``column_terms`` adds
+    per-column filters: the column's shown text must contain the term,
+    ignoring case.
     """
-    text_cols = [c for c, t in lookup.dtypes if t == "string"]
+    types = dict(lookup.dtypes)
     out = lookup
     for word in (term or "").split():
         w = word.lower()
         hit = None
-        for c in text_cols:
-            h = F.coalesce(F.lower(F.col(c)).contains(w), F.lit(False))
+        for c in lookup.columns:
+            h = F.coalesce(F.lower(shown(c, types[c])).contains(w), F.lit(False))
             hit = h if hit is None else (hit | h)
         out = out.filter(hit)
     for c, t in (column_terms or {}).items():
-        out = out.filter(F.coalesce(F.lower(F.col(c).cast("string")).contains(t.lower()), F.lit(False)))
+        out = out.filter(F.coalesce(F.lower(shown(c, types[c])).contains(t.lower()), F.lit(False)))
     return out
 
 

@@ -158,9 +158,17 @@ def _coverage(where: str = "") -> str:
 FROM (SELECT mapping_status, count(*) AS n FROM prepared {where} GROUP BY mapping_status)"""
 
 
+def _shown(c: str) -> str:
+    if c in ("ddd", "ddd_mg"):
+        return (f"CASE WHEN {c} = floor({c}) AND abs({c}) < 1e15 THEN CAST(CAST({c} AS BIGINT) AS VARCHAR) "
+                f"ELSE CAST({c} AS VARCHAR) END")
+    return c
+
+
 def _search_word(w: str) -> str:
-    cols = ("atc_code", "ddd_uom", "drug_names")
-    return "(" + " OR ".join(f"coalesce(contains(lower({c}), {_lit(w.lower())}), false)" for c in cols) + ")"
+    cols = ("atc_code", "ddd", "ddd_uom", "ddd_mg", "drug_names")
+    return "(" + " OR ".join(f"coalesce(contains(lower({_shown(c)}), {_lit(w.lower())}), false)"
+                             for c in cols) + ")"
 
 
 def _quoted(name: str) -> str:
@@ -271,7 +279,7 @@ FROM (SELECT count(*) AS total, count(*) FILTER (WHERE has_bnf) AS with_bnf, cou
 WHERE ddd IS NOT NULL AND vmp_nm IS NOT NULL AND length(vmp_nm) > 0""",
     "ddd_search": "SELECT * FROM lookup WHERE " + " AND ".join(_search_word(w) for w in q.SEARCH_TERM.split()),
     "ddd_search_columns": "SELECT * FROM lookup WHERE " + " AND ".join(
-        f"coalesce(contains(lower(CAST({c} AS VARCHAR)), {_lit(t.lower())}), false)" for c, t in q.SEARCH_COLUMNS.items()),
+        f"coalesce(contains(lower({_shown(c)}), {_lit(t.lower())}), false)" for c, t in q.SEARCH_COLUMNS.items()),
     "page_of_table": f"""SELECT * FROM lookup ORDER BY atc_code NULLS LAST, ddd NULLS LAST, ddd_uom NULLS LAST,
   ddd_mg NULLS LAST LIMIT {codes.DDD_LOOKUP_PAGE_SIZE} OFFSET {(q.LOOKUP_PAGE - 1) * codes.DDD_LOOKUP_PAGE_SIZE}""",
     "ddd_lookup_display": "SELECT " + ", ".join(f"{c} AS {_quoted(h)}" for c, h in codes.DDD_LOOKUP_HEADERS.items())

@@ -36,7 +36,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Parameters of the registered instances of parameterised operators.
 GROUP_PARAMETER = "Anti-Infectives (Systemic)"
 SEARCH_TERM = "amoxiclav ring"
-SEARCH_COLUMNS = {"atc_code": "j01c", "ddd_uom": "g"}
+SEARCH_COLUMNS = {"atc_code": "j01c", "ddd_uom": "g", "ddd_mg": "000"}
 LOOKUP_PAGE = 2
 CATALOG_DATABASE = "rxcover"
 # Classification records of this line number are written under a second

@@ -116,3 +116,10 @@ def test_ddd_lookup_names_binary_order(spark):
          ("alpha", "A", 1.0, "mg", 1.0), ("beta", "A", 1.0, "mg", 1.0)],
         "vmp_nm string, atc_code string, ddd double, ddd_uom string, ddd_mg double")
     assert op.ddd_lookup(rows).first()["drug_names"] == "Zeta | alpha | beta | Éclair"
+
+
+def test_search_matches_numbers_as_shown(prepared):
+    look = op.ddd_lookup(prepared)
+    assert [r["atc_code"] for r in op.ddd_search(look, "1500").collect()] == ["J01CA04"]
+    assert op.ddd_search(look, "1500.0").count() == 0  # shown as 1500
+    assert [r["atc_code"] for r in op.ddd_search(look, column_terms={"ddd": "1.5"}).collect()] == ["J01CA04"]
