@@ -10,10 +10,13 @@ from rxcover import codes
 from rxcover.functions.text import col_of, trim_text
 
 # Text accepted as a finite number: optional sign, digits with an optional
-# point (or a leading point), optional exponent. Anything else is missing,
-# so "1.0d", "1_000" or "n/a" give null although a plain cast might parse
-# some of them.
-_FINITE_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# point (or a leading point), optional exponent, i.e.
+#     ^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$
+# Anything else is missing, so "1.0d", "1_000", "0x1p3" or "n/a" give null
+# although a plain cast parses some of them. The check is done without a
+# regex: text made only of these characters is exactly the text the cast
+# accepts in that form, and the cast rejects the rest (null).
+_NUMBER_CHARS = "0123456789.+-eE"
 _POS_INF = float("inf")
 _INF_TEXT = ("inf", "+inf", "infinity", "+infinity")
 _NEG_INF_TEXT = ("-inf", "-infinity")
@@ -45,9 +48,9 @@ def numeric_text(c: Column | str) -> Column:
 
 
 def number_of(trimmed: Column | str) -> Column:
-    """The value of trimmed text that is a finite-looking number, else null
-    (non-matching text extracts as "" and casts to null)."""
-    return F.regexp_extract(col_of(trimmed), _FINITE_NUMBER, 0).try_cast("double")
+    """The value of trimmed text that is a finite-looking number, else null."""
+    t = col_of(trimmed)
+    return F.when(F.translate(t, _NUMBER_CHARS, "") == "", t.try_cast("double"))
 
 
 def finite_or_infinite(value: Column | str, trimmed: Column | str) -> Column:
