@@ -99,7 +99,11 @@ def read_classifications_xml(spark: SparkSession, path: str, name_glob: str = CL
     for p in parts[1:]:
         raw_all = raw_all.unionByName(p)
     _require_files(raw_all, "classification")
-    return _require_rows(classification_records(raw_all), "classification", check_rows)
+    # Emptiness is checked tag by tag and stops at the first tag with a
+    # record: a scan for a tag that a file lacks reads the whole file.
+    if check_rows and all(p.isEmpty() for p in parts):
+        raise NoRecordsError("classification records are empty")
+    return classification_records(raw_all)
 
 
 def write_xml_records(df: DataFrame, path: str, row_tag: str, root_tag: str, tags: dict[str, str],

@@ -87,3 +87,21 @@ def test_unit_top(spark, records):
     _, bnf = records
     assert [tuple(r) for r in unit_top(bnf, 10).collect()] == [("", 2), ("g", 2), ("mg", 1)]
     assert [tuple(r) for r in unit_top(bnf, 1).collect()] == [("", 2)]
+
+
+def test_sort_splits_a_hot_group_of_copies(spark):
+    from rxcover.operators.spine import sort_spine
+
+    hot = spark.range(0, 30_000, 1, 8).select(F.lit("555").alias("vpid"), F.lit(2.0).alias("ddd"))
+    rest = spark.range(0, 20_000, 1, 8).select(F.col("id").cast("string").alias("vpid"),
+                                               (F.col("id") % 5).cast("double").alias("ddd"))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = sort_spine(hot.unionByName(rest))
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        rows = [(r["vpid"], r["ddd"]) for r in out.collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert sum(sizes) == 50_000 and max(sizes) < 25_000
+    assert rows == sorted(rows)
