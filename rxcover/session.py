@@ -41,17 +41,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
     set. On a cluster an unset value is an error: intermediate tables must
     go to a folder every executor can read.
     """
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote (Connect) session has no context
+        sc = None
+    d = (sc.getCheckpointDir() if sc is not None else None) or spark.conf.get("spark.checkpoint.dir", None)
     if d:
         return d.rstrip("/")
-    if not sc.master.startswith("local"):
+    if sc is None or not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
     d = tempfile.mkdtemp(prefix="rxcover-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    """The session's default parallelism (shuffle partitions when there is
+    no local context to ask)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def scratch_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     """A path under the shared scratch folder (``<checkpoint dir>/rxcover``)."""
     tail = list(parts) + ([uuid.uuid4().hex] if unique else [])

@@ -17,6 +17,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rxcover.session import default_parallelism
 from rxcover.sources.records import classification_records, product_records
 
 # FIXED VALUES: synthetic name prefixes that hit the fallback rules.
@@ -67,7 +68,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(path)
     size = _local_bytes(df.inputFiles())
     if size is not None and size <= SPREAD_MAX_BYTES:
-        df = df.repartition(spark.sparkContext.defaultParallelism, df.columns[0])
+        df = df.repartition(default_parallelism(spark), df.columns[0])
     _handles[path] = (spark, df)
     return df
 
