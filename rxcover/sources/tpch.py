@@ -31,12 +31,14 @@ _UNIT_CODES = {0: "258684004", 1: "258682000", 2: "258685003", 3: "258774008", 4
 _UNIT_TEXTS = {5: " G ", 6: "kg", 7: "µg", 0: "ignored"}
 
 
-# Local inputs up to this size are spread over the default parallelism after
-# the scan. A Parquet row group is never split, so a small table written as a
+# Local inputs between these sizes are spread over the default parallelism
+# after the scan. A Parquet row group is never split, so a table written as a
 # single row group is read by one task however many cores there are; hashing
-# a few MB across the cores removes that bottleneck. Inputs on a cluster file
-# system, or larger than this, already arrive in many splits and are read as
-# they are, with no added shuffle.
+# a few MB across the cores removes that bottleneck. Smaller inputs are
+# cheaper to process in one task than to shuffle (a product table is
+# broadcast whole anyway); inputs on a cluster file system, or larger than
+# the upper bound, already arrive in many splits and are read as they are.
+SPREAD_MIN_BYTES = 4 * 1024 * 1024
 SPREAD_MAX_BYTES = 256 * 1024 * 1024
 
 
@@ -67,7 +69,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         return held[1]
     df = spark.read.parquet(path)
     size = _local_bytes(df.inputFiles())
-    if size is not None and size <= SPREAD_MAX_BYTES:
+    if size is not None and SPREAD_MIN_BYTES <= size <= SPREAD_MAX_BYTES:
         df = df.repartition(default_parallelism(spark), df.columns[0])
     _handles[path] = (spark, df)
     return df
