@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from tests.conftest import ORACLE_SF
-from tools.check_oracle import TABLES, digest
+from tools.check_oracle import TABLES, digest, type_mismatches
 
 duckdb = pytest.importorskip("duckdb")
 
@@ -31,6 +31,7 @@ def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, ORACLE_SF)
     rel = con.sql(E.oracle_sql()[name])
     assert sorted(df.columns) == sorted(rel.columns)
+    assert not type_mismatches(dict(df.dtypes), dict(zip(rel.columns, [str(t) for t in rel.types])))
     assert digest(df.columns, [tuple(r) for r in df.collect()]) == digest(rel.columns, rel.fetchall())
 
 
