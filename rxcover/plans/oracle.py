@@ -282,6 +282,10 @@ WHERE ddd IS NOT NULL AND vmp_nm IS NOT NULL AND length(vmp_nm) > 0""",
         f"coalesce(contains(lower({_shown(c)}), {_lit(t.lower())}), false)" for c, t in q.SEARCH_COLUMNS.items()),
     "page_of_table": f"""SELECT * FROM lookup ORDER BY atc_code NULLS LAST, ddd NULLS LAST, ddd_uom NULLS LAST,
   ddd_mg NULLS LAST LIMIT {codes.DDD_LOOKUP_PAGE_SIZE} OFFSET {(q.LOOKUP_PAGE - 1) * codes.DDD_LOOKUP_PAGE_SIZE}""",
+    "abx_missing_page": "SELECT " + ", ".join(f"{c} AS {_quoted(h)}" for c, h in codes.ABX_MISSING_HEADERS.items())
+                        + " FROM antibiotics WHERE NOT has_atc ORDER BY vmp_nm NULLS LAST, vpid, bnf_code NULLS LAST,"
+                        + f" mapping_status NULLS LAST LIMIT {codes.ABX_MISSING_PAGE_SIZE}"
+                        + f" OFFSET {(q.ABX_MISSING_PAGE - 1) * codes.ABX_MISSING_PAGE_SIZE}",
     "ddd_lookup_display": "SELECT " + ", ".join(f"{c} AS {_quoted(h)}" for c, h in codes.DDD_LOOKUP_HEADERS.items())
                           + " FROM lookup",
 }

@@ -38,6 +38,7 @@ GROUP_PARAMETER = "Anti-Infectives (Systemic)"
 SEARCH_TERM = "amoxiclav ring"
 SEARCH_COLUMNS = {"atc_code": "j01c", "ddd_uom": "g", "ddd_mg": "000"}
 LOOKUP_PAGE = 2
+ABX_MISSING_PAGE = 2
 CATALOG_DATABASE = "rxcover"
 # Classification records of this line number are written under a second
 # record tag, in a deeper folder, to exercise multi-tag and recursive reads.
@@ -407,6 +408,16 @@ def q_page_of_table(spark, sf):
     return lk.page(lookup_table(spark, sf), LOOKUP_PAGE, codes.DDD_LOOKUP_PAGE_SIZE, lookup_order())
 
 
+def q_abx_missing_page(spark, sf):
+    """Page 2 of the unmapped-antibiotic table (10 rows) in the table's order
+    (name, nulls last), ties broken by the remaining columns; rows equal in
+    every column are identical, so the page content is fixed."""
+    rows = rp.abx_missing(abx(spark, sf), display_names=False)
+    order = [F.col("vmp_nm").asc_nulls_last(), F.col("vpid"), F.col("bnf_code").asc_nulls_last(),
+             F.col("mapping_status").asc_nulls_last()]
+    return lk.display(lk.page(rows, ABX_MISSING_PAGE, codes.ABX_MISSING_PAGE_SIZE, order), codes.ABX_MISSING_HEADERS)
+
+
 def q_ddd_lookup_display(spark, sf):
     return lk.display(lookup_table(spark, sf), codes.DDD_LOOKUP_HEADERS)
 
