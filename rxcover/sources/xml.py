@@ -63,9 +63,14 @@ def _require_files(df: DataFrame, what: str) -> None:
         raise NoRecordsError(f"no {what} XML files found")
 
 
+def _has_rows(df: DataFrame) -> bool:
+    # take(1) scans partitions incrementally (one first), where isEmpty
+    # starts every partition at once; no column is transferred.
+    return bool(df.select().take(1))
+
+
 def _require_rows(df: DataFrame, what: str, check_rows: bool) -> DataFrame:
-    # isEmpty runs a job that stops at the first record.
-    if check_rows and df.isEmpty():
+    if check_rows and not _has_rows(df):
         raise NoRecordsError(f"{what} records are empty")
     return df
 
@@ -101,7 +106,7 @@ def read_classifications_xml(spark: SparkSession, path: str, name_glob: str = CL
     _require_files(raw_all, "classification")
     # Emptiness is checked tag by tag and stops at the first tag with a
     # record: a scan for a tag that a file lacks reads the whole file.
-    if check_rows and all(p.isEmpty() for p in parts):
+    if check_rows and not any(_has_rows(p) for p in parts):
         raise NoRecordsError("classification records are empty")
     return classification_records(raw_all)
 
