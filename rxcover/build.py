@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from rxcover.operators.prepared import antibiotics, prepare
-from rxcover.operators.reports import report_bundle
+from rxcover.operators.reports import report_bundle, report_cube
 from rxcover.operators.spine import build_metrics, build_spine
 from rxcover.sinks import writers
 from rxcover.sources.xml import read_classifications_xml, read_products_xml
@@ -64,7 +64,8 @@ def run_build(spark: SparkSession, products_dir: str, classifications_dir: str,
 
 
 def reports(spine: DataFrame, levels: int = 4, antibiotic: str = "any") -> dict[str, DataFrame]:
-    """Every report of the spine as a lazy DataFrame (nothing runs yet)."""
+    """Every report of the spine as a lazy DataFrame, each reading the
+    rows (nothing runs yet)."""
     prep = prepare(spine, levels=levels, antibiotic=antibiotic)
     return report_bundle(prep, antibiotics(prep, antibiotic=antibiotic))
 
@@ -73,9 +74,14 @@ def run_reports(spark: SparkSession, spine_path: str, out_dir: str, levels: int
                 antibiotic: str = "any") -> dict[str, str]:
     """Write one Parquet table per report under ``out_dir``.
 
-    Each report reads the spine table directly: the derived columns are
-    cheap projections, each report needs only a few columns (pruned at the
-    scan) and the antibiotic ones push their prefix filter into it, so a
-    materialised intermediate would cost more than it saves.
+    The spine is scanned once: its prepared rows are counted per
+    combination of the columns the reports group and filter on (the count
+    cube, bounded by the code vocabulary), the cube is written to
+    ``<out_dir>/_cube`` and every report is computed from it. Without the
+    cube each report would scan the spine again.
     """
-    return writers.write_reports(reports(spark.read.parquet(spine_path), levels, antibiotic), out_dir)
+    out = out_dir.rstrip("/")
+    prep = prepare(spark.read.parquet(spine_path), levels=levels, antibiotic=antibiotic)
+    writers.write_parquet(report_cube(prep), f"{out}/_cube")
+    cube = spark.read.parquet(f"{out}/_cube")
+    return writers.write_reports(report_bundle(cube, antibiotics(cube, antibiotic=antibiotic)), out)

@@ -52,7 +52,9 @@ def antibiotics(prepared: DataFrame, antibiotic: str = "any") -> DataFrame:
     ``Or(StringStartsWith, StringStartsWith)`` pushed down; the flag column
     itself wraps the OR in ``coalesce`` and would push nothing.
     """
-    if antibiotic == "any":
+    if "atc_code" not in prepared.columns:  # a count cube keeps only the flag
+        rows = prepared.filter(F.col("is_antibiotic"))
+    elif antibiotic == "any":
         rows = prepared.filter(antibiotic_filter("atc_code", "bnf_code"))
     else:
         rows = prepared.filter(antibiotic_by_atc("atc_code"))

@@ -18,8 +18,24 @@ from rxcover.functions.dose import lookup
 from rxcover.functions.labels import count_share_label, ratio_label
 
 
-def _n():
-    return F.count(F.lit(1))
+# A report input is either rows (prepared spine rows) or a count cube with
+# a ``_rows`` weight per combination (see ``report_cube``); counts are sums of
+# the weight on a cube.
+WEIGHT = "_rows"
+
+
+def _n(df: DataFrame):
+    return F.sum(WEIGHT) if WEIGHT in df.columns else F.count(F.lit(1))
+
+
+def _n_if(df: DataFrame, cond):
+    if WEIGHT in df.columns:
+        return F.coalesce(F.sum(F.when(cond, F.col(WEIGHT)).otherwise(F.lit(0))), F.lit(0)).cast("bigint")
+    return F.count_if(cond)
+
+
+def _total(df: DataFrame):
+    return F.coalesce(_n(df), F.lit(0)).cast("bigint") if WEIGHT in df.columns else _n(df)
 
 
 def _share_of_total(counts: DataFrame, n: str = "n", pct: str = "pct") -> DataFrame:
@@ -38,14 +54,16 @@ def filter_group(prepared: DataFrame, group: str = codes.ALL_GROUPS) -> DataFram
         return prepared.limit(0)
     cond = None
     for code in wanted:
-        c = F.col("atc_code").startswith(code)
+        c = (F.col("atc_code").startswith(code) if "atc_code" in prepared.columns
+             else F.col("atc_level1_code") == code)
         cond = c if cond is None else (cond | c)
     return prepared.filter(cond)
 
 
 def coverage(prepared: DataFrame, group: str = codes.ALL_GROUPS, levels: int = 4) -> DataFrame:
     """Rows per mapping status and share of all rows (status order by rank)."""
-    counts = filter_group(prepared, group).groupBy("mapping_status").agg(_n().alias("n"))
+    rows = filter_group(prepared, group)
+    counts = rows.groupBy("mapping_status").agg(_n(rows).alias("n"))
     return (_share_of_total(counts)
             .orderBy(status_rank("mapping_status", levels).asc_nulls_last()))
 
@@ -60,7 +78,7 @@ def group_coverage(prepared: DataFrame) -> DataFrame:
     the group, and the group total used to order the bars."""
     counts = (prepared.filter(F.col("has_atc"))
               .withColumn("atc_group", atc_group("atc_level1_code", "other"))
-              .groupBy("atc_group", "mapping_status").agg(_n().alias("n")))
+              .groupBy("atc_group", "mapping_status").agg(_n(prepared).alias("n")))
     w = Window.partitionBy("atc_group")
     return (counts.withColumn("group_total", F.sum("n").over(w))
             .withColumn("pct", F.col("n") / F.col("group_total"))
@@ -71,11 +89,15 @@ def group_gap_rate(prepared: DataFrame, min_size: int = codes.MIN_GROUP_SIZE) ->
     """Share of rows without an ATC code per anatomical group, for groups of
     at least ``min_size`` rows. Rows are first restricted to a non-empty
     level-1 code, so the rate is zero by construction, as in the report."""
-    atc = F.col("atc_code")
-    return (prepared.filter(atc.isNotNull() & (atc != ""))
+    if "atc_code" in prepared.columns:
+        atc = F.col("atc_code")
+        coded = prepared.filter(atc.isNotNull() & (atc != ""))
+    else:
+        coded = prepared.filter(F.col("has_atc"))  # same rows: has_atc is "code present"
+    return (coded
             .withColumn("atc_group", atc_group("atc_level1_code", "code"))
             .groupBy("atc_group")
-            .agg(_n().alias("total"), F.count_if(~F.col("has_atc")).alias("unmapped"))
+            .agg(_n(coded).alias("total"), _n_if(coded, ~F.col("has_atc")).alias("unmapped"))
             .withColumn("pct_unmapped", F.col("unmapped") / F.col("total"))
             .filter(F.col("total") >= min_size)
             .orderBy(F.desc("pct_unmapped"), "atc_group"))
@@ -83,7 +105,7 @@ def group_gap_rate(prepared: DataFrame, min_size: int = codes.MIN_GROUP_SIZE) ->
 
 def abx_subclass(antibiotics: DataFrame) -> DataFrame:
     """Antibiotic rows by J01 subclass and status, subclass total and share."""
-    counts = antibiotics.groupBy("j01_class", "mapping_status").agg(_n().alias("n"))
+    counts = antibiotics.groupBy("j01_class", "mapping_status").agg(_n(antibiotics).alias("n"))
     return (counts.withColumn("total", F.sum("n").over(Window.partitionBy("j01_class")))
             .withColumn("pct", F.col("n") / F.col("total"))
             .orderBy("total", "j01_class", "mapping_status"))
@@ -91,14 +113,14 @@ def abx_subclass(antibiotics: DataFrame) -> DataFrame:
 
 def abx_subclass_total(antibiotics: DataFrame) -> DataFrame:
     """Antibiotic rows per J01 subclass."""
-    return antibiotics.groupBy("j01_class").agg(_n().alias("total")).orderBy("total", "j01_class")
+    return antibiotics.groupBy("j01_class").agg(_n(antibiotics).alias("total")).orderBy("total", "j01_class")
 
 
 def abx_level4(antibiotics: DataFrame) -> DataFrame:
     """Antibiotics with an ATC code by level-4 and level-3 code; the class
     label falls through to the level-3 code; share within the class."""
     counts = (antibiotics.filter(F.col("has_atc"))
-              .groupBy("atc_level4_code", "atc_level3_code").agg(_n().alias("n"))
+              .groupBy("atc_level4_code", "atc_level3_code").agg(_n(antibiotics).alias("n"))
               .withColumn("j01_class", j01_class("atc_level3_code", "code")))
     return (counts.withColumn("pct_within_class",
                               F.col("n") / F.sum("n").over(Window.partitionBy("j01_class")))
@@ -107,12 +129,15 @@ def abx_level4(antibiotics: DataFrame) -> DataFrame:
 
 def abx_ddd(antibiotics: DataFrame) -> DataFrame:
     """Dose availability per J01 subclass: rows, rows with a dose, share."""
-    ddd = F.col("ddd")
-    has_ddd = ddd.isNotNull()
-    if dict(antibiotics.dtypes)["ddd"] == "string":
-        has_ddd = has_ddd & (ddd != "")
+    if "has_ddd" in antibiotics.columns:
+        has_ddd = F.col("has_ddd")
+    else:
+        ddd = F.col("ddd")
+        has_ddd = ddd.isNotNull()
+        if dict(antibiotics.dtypes)["ddd"] == "string":
+            has_ddd = has_ddd & (ddd != "")
     return (antibiotics.groupBy("j01_class")
-            .agg(_n().alias("total"), F.count_if(has_ddd).alias("with_ddd"))
+            .agg(_n(antibiotics).alias("total"), _n_if(antibiotics, has_ddd).alias("with_ddd"))
             .withColumn("pct_ddd", F.col("with_ddd") / F.col("total"))
             .orderBy("pct_ddd", "j01_class"))
 
@@ -125,14 +150,14 @@ def abx_ddd_labels(antibiotics: DataFrame) -> DataFrame:
 def abx_gap(antibiotics: DataFrame) -> DataFrame:
     """Antibiotics mapped to ATC or missing it: count, share and label."""
     status = F.when(F.col("has_atc"), F.lit(codes.GAP_MAPPED)).otherwise(F.lit(codes.GAP_MISSING))
-    counts = antibiotics.groupBy(status.alias("status")).agg(_n().alias("n"))
+    counts = antibiotics.groupBy(status.alias("status")).agg(_n(antibiotics).alias("n"))
     return (_share_of_total(counts).withColumn("label", count_share_label("n", "pct"))
             .orderBy("status"))
 
 
 def abx_gap_status(antibiotics: DataFrame) -> DataFrame:
     """Antibiotics without an ATC code per mapping status."""
-    return (antibiotics.filter(~F.col("has_atc")).groupBy("mapping_status").agg(_n().alias("n"))
+    return (antibiotics.filter(~F.col("has_atc")).groupBy("mapping_status").agg(_n(antibiotics).alias("n"))
             .orderBy(status_rank("mapping_status").asc_nulls_last()))
 
 
@@ -142,10 +167,10 @@ def abx_status_long(antibiotics: DataFrame) -> DataFrame:
     antibiotic rows. ATC-only rows are in the total but in no status."""
     a, b = F.col("has_atc"), F.col("has_bnf")
     wide = antibiotics.agg(
-        _n().alias("total"),
-        F.count_if(a & b).alias("fully_mapped"),
-        F.count_if(b & ~a).alias("bnf_only"),
-        F.count_if(~b & ~a).alias("unmapped"),
+        _total(antibiotics).alias("total"),
+        _n_if(antibiotics, a & b).alias("fully_mapped"),
+        _n_if(antibiotics, b & ~a).alias("bnf_only"),
+        _n_if(antibiotics, ~b & ~a).alias("unmapped"),
     )
     long = wide.unpivot(["total"], list(codes.ABX_STATUS_COLUMNS), "status_key", "n")
     recode = lookup(codes.ABX_STATUS_COLUMNS, "status_key")
@@ -158,10 +183,10 @@ def summary(prepared: DataFrame) -> DataFrame:
     """Console summary in one row: rows, rows with BNF / ATC code and their
     percent, antibiotic rows (count of true)."""
     return (prepared.agg(
-        _n().alias("total"),
-        F.count_if(F.col("has_bnf")).alias("with_bnf"),
-        F.count_if(F.col("has_atc")).alias("with_atc"),
-        F.count_if(F.col("is_antibiotic")).alias("antibiotics"))
+        _total(prepared).alias("total"),
+        _n_if(prepared, F.col("has_bnf")).alias("with_bnf"),
+        _n_if(prepared, F.col("has_atc")).alias("with_atc"),
+        _n_if(prepared, F.col("is_antibiotic")).alias("antibiotics"))
         .withColumn("pct_bnf", F.col("with_bnf") / F.col("total") * 100)
         .withColumn("pct_atc", F.col("with_atc") / F.col("total") * 100)
         .select("total", "with_bnf", "pct_bnf", "with_atc", "pct_atc", "antibiotics"))
@@ -178,6 +203,23 @@ def abx_missing(antibiotics: DataFrame, display_names: bool = True) -> DataFrame
     return out
 
 
+# Columns the bundled reports group or filter on; every bundled report can
+# be computed from counts per combination of them.
+CUBE_KEYS = ("atc_level1_code", "atc_level3_code", "atc_level4_code", "has_atc", "has_bnf",
+             "mapping_status", "is_antibiotic", "has_ddd")
+
+
+def report_cube(prepared: DataFrame) -> DataFrame:
+    """Rows per combination of ``CUBE_KEYS`` (weight column ``_rows``).
+
+    One scan of the prepared rows and one aggregation (combined map-side)
+    replace a scan per report; the result is bounded by the ATC code
+    vocabulary times a few flags, not by the number of rows.
+    """
+    return (prepared.withColumn("has_ddd", F.col("ddd").isNotNull())
+            .groupBy(*CUBE_KEYS).agg(F.count(F.lit(1)).alias(WEIGHT)))
+
+
 REPORT_NAMES = ("coverage", "group_coverage", "group_gap_rate", "abx_subclass", "abx_subclass_total",
                 "abx_level4", "abx_ddd", "abx_status_long", "abx_gap", "abx_gap_status", "summary")
 

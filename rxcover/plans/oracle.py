@@ -286,6 +286,8 @@ WHERE ddd IS NOT NULL AND vmp_nm IS NOT NULL AND length(vmp_nm) > 0""",
                         + " FROM antibiotics WHERE NOT has_atc ORDER BY vmp_nm NULLS LAST, vpid, bnf_code NULLS LAST,"
                         + f" mapping_status NULLS LAST LIMIT {codes.ABX_MISSING_PAGE_SIZE}"
                         + f" OFFSET {(q.ABX_MISSING_PAGE - 1) * codes.ABX_MISSING_PAGE_SIZE}",
+    "report_cube": """SELECT atc_level1_code, atc_level3_code, atc_level4_code, has_atc, has_bnf, mapping_status,
+       is_antibiotic, ddd IS NOT NULL AS has_ddd, count(*) AS _rows FROM prepared GROUP BY ALL""",
     "ddd_lookup_display": "SELECT " + ", ".join(f"{c} AS {_quoted(h)}" for c, h in codes.DDD_LOOKUP_HEADERS.items())
                           + " FROM lookup",
 }

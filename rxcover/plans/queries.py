@@ -213,8 +213,8 @@ def q_catalog_tables(spark, sf):
 
 def q_write_reports(spark, sf):
     def write(path: str) -> None:
-        prep = prepared(spark, sf)
-        writers.write_reports(rp.report_bundle(prep, pr.antibiotics(prep)), path)
+        cube = report_cube_table(spark, sf)
+        writers.write_reports(rp.report_bundle(cube, pr.antibiotics(cube)), path)
     root = _once(spark, sf, "reports", write)
     out = None
     for name in rp.REPORT_NAMES:
@@ -408,6 +408,18 @@ def q_page_of_table(spark, sf):
     return lk.page(lookup_table(spark, sf), LOOKUP_PAGE, codes.DDD_LOOKUP_PAGE_SIZE, lookup_order())
 
 
+def report_cube_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The report count cube, written once per process (as the report job
+    writes it)."""
+    def write(path: str) -> None:
+        writers.write_parquet(rp.report_cube(prepared(spark, sf)), path)
+    return spark.read.parquet(_once(spark, sf, "report_cube", write))
+
+
+def q_report_cube(spark, sf):
+    return rp.report_cube(prepared(spark, sf))
+
+
 def q_abx_missing_page(spark, sf):
     """Page 2 of the unmapped-antibiotic table (10 rows) in the table's order
     (name, nulls last), ties broken by the remaining columns; rows equal in
