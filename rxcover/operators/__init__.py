@@ -18,6 +18,7 @@ from rxcover.operators.reports import (
     group_coverage,
     group_gap_rate,
     report_bundle,
+    report_cube,
     summary,
 )
 from rxcover.operators.spine import (
@@ -38,7 +39,7 @@ __all__ = [
     "antibiotics", "prepare",
     "abx_ddd", "abx_ddd_labels", "abx_gap", "abx_gap_status", "abx_level4", "abx_missing",
     "abx_status_long", "abx_subclass", "abx_subclass_total", "coverage", "coverage_labels",
-    "filter_group", "group_coverage", "group_gap_rate", "report_bundle", "summary",
+    "filter_group", "group_coverage", "group_gap_rate", "report_bundle", "report_cube", "summary",
     "DuplicateKeyError", "apply_fallbacks", "assert_unique", "build_metrics", "build_spine",
     "duplicate_keys", "join_one_to_many", "sort_spine", "type_and_patch", "unit_top",
 ]
