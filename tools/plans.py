@@ -18,7 +18,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 HEADLINE = ("spine", "spine_sorted", "coverage", "group_filter", "group_coverage", "abx_level4",
-            "ddd_lookup", "page_of_table", "xml_bnf_records")
+            "report_cube", "ddd_lookup", "page_of_table", "xml_bnf_records")
 
 
 def _shorten(line: str, width: int = 160) -> str:
