@@ -7,11 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rxcover.llm import exact_dedup as xd
+from rxcover.llm import warc
 from rxcover.llm.common import read
+from rxcover.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return warc.warc_summary(spark, pages, scratch_path(spark, "llm", "warc", unique=True))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return xd.exact_dedup(spark, read(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -30,6 +37,7 @@ SELECT doc_id, keep_id, group_size, k = 1 AS kept, text_sha256 FROM g
 """
 
 QUERIES: dict[str, Query] = {
+    "op1_warc": op1_warc,
     "op6_exact_dedup": op6_exact_dedup,
 }
 

@@ -40,4 +40,4 @@ def test_empty_and_pipeline_rows(spark, make_docs):
     assert xd.exact_dedup(spark, make_docs([])).count() == 0
     kept = xd.keep_first_copies(spark, make_docs(ROWS, extra=("kept",)))
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars", "kept"]
-    assert sorted(r.doc_id for r in kept.collect()) == [1, 4, 6, 7]
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 4, 6, 7, 10]
