@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rxcover.llm import exact_dedup as xd
 from rxcover.llm import langid, warc
+from rxcover.llm import site_style
 from rxcover.llm.common import read
 from rxcover.session import scratch_path
 
@@ -27,6 +28,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return xd.exact_dedup(spark, read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_site_style(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_style.extract_pages(read(spark, sf_dir, "pages"))
+
+
 OP6_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(length(text), 0) AS n,
@@ -44,6 +49,7 @@ QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op5_language_id": op5_language_id,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_site_style": op8_site_style,
 }
 
 ORACLE_SQL: dict[str, str] = {
