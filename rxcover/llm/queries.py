@@ -7,8 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rxcover.llm import exact_dedup as xd
-from rxcover.llm import langid, warc
-from rxcover.llm import site_style
+from rxcover.llm import langid, pii_crf, site_style, warc
 from rxcover.llm.common import read
 from rxcover.session import scratch_path
 
@@ -32,6 +31,10 @@ def op8_site_style(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_style.extract_pages(read(spark, sf_dir, "pages"))
 
 
+def op9_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_crf.find_pii(read(spark, sf_dir, "documents"))
+
+
 OP6_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(length(text), 0) AS n,
@@ -50,6 +53,7 @@ QUERIES: dict[str, Query] = {
     "op5_language_id": op5_language_id,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_site_style": op8_site_style,
+    "op9_pii_crf": op9_pii_crf,
 }
 
 ORACLE_SQL: dict[str, str] = {
