@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rxcover.llm import exact_dedup as xd
-from rxcover.llm import langid, pii_crf, site_style, warc
+from rxcover.llm import langid, pii_crf, sentencepiece, site_style, warc
 from rxcover.llm.common import read
 from rxcover.session import scratch_path
 
@@ -19,6 +19,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_summary(spark, pages, scratch_path(spark, "llm", "warc", unique=True))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece.summary(spark, read(spark, sf_dir, "documents"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
@@ -50,6 +54,7 @@ SELECT doc_id, keep_id, group_size, k = 1 AS kept, text_sha256 FROM g
 
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
+    "op3_sentencepiece": op3_sentencepiece,
     "op5_language_id": op5_language_id,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_site_style": op8_site_style,
