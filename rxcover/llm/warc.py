@@ -160,19 +160,18 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str =
     """Write WARC files under ``path``. Payloads are shuffled once, by key;
     the choice of the response of equal payloads runs on digests only."""
     body = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
-    rows = pages.select(F.col(key).alias("k"), F.col(url).cast("string").alias("u"), body.alias("p"))
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    rows = pages.select(F.col(key).alias("k"), text(key).alias("t"), F.col(url).cast("string").alias("u"), body.alias("p"))
     rows = rows.withColumn("d", base32_sha1(F.col("p")))
-    ids = rows.select("k", "d", F.octet_length("p").alias("n")).distinct()
+    ids = rows.select("k", "t", "d", F.octet_length("p").alias("n")).distinct()
     first = ids.groupBy("d").agg(F.min(F.struct(F.col("k").isNull().alias("nul"), "k")).alias("f"))
-    plan = ids.join(first, "d").select(F.col("k").alias("pk"), F.col("d").alias("pd"),
-                                       F.col("f.k").alias("fk"), (F.col("n") >= revisit_bytes).alias("big"))
-    same = F.row_number().over(Window.partitionBy("k", "d").orderBy("d"))
-    rows = rows.join(plan, F.col("k").eqNullSafe(F.col("pk")) & (F.col("d") == F.col("pd"))).withColumn("ord", same)
-    text = F.coalesce(F.col("k").cast("string"), F.lit(""))
-    rid = F.concat(F.lit("urn:page:"), text, F.lit(":"), F.col("d"), F.lit(":"), F.col("ord").cast("string"))
-    first_rid = F.concat(F.lit("urn:page:"), F.coalesce(F.col("fk").cast("string"), F.lit("")), F.lit(":"), F.col("d"),
-                         F.lit(":1"))
-    revisit = F.col("big") & ~(F.col("k").eqNullSafe(F.col("fk")) & (F.col("ord") == 1))
+    plan = ids.join(first, "d").select("t", "d", text("f.k").alias("ft"), (F.col("n") >= revisit_bytes).alias("big"))
+    # joined and numbered by the same two columns: payloads are dealt once
+    rows = rows.select("t", "u", "p", "d").join(plan, ["t", "d"]).withColumn(
+        "ord", F.row_number().over(Window.partitionBy("t", "d").orderBy("t")))
+    rid = F.concat(F.lit("urn:page:"), F.col("t"), F.lit(":"), F.col("d"), F.lit(":"), F.col("ord").cast("string"))
+    first_rid = F.concat(F.lit("urn:page:"), F.col("ft"), F.lit(":"), F.col("d"), F.lit(":1"))
+    revisit = F.col("big") & ~((F.col("t") == F.col("ft")) & (F.col("ord") == 1))
     rows = rows.select(rid.alias("rid"), "u", "d", F.when(revisit, first_rid).alias("of"),
                        F.when(~revisit, F.col("p")).alias("p"))
 
