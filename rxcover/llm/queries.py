@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rxcover.llm import exact_dedup as xd
-from rxcover.llm import langid, pii_crf, sentencepiece, site_style, warc
+from rxcover.llm import decontam, langid, pii_crf, sentencepiece, site_style, warc
 from rxcover.llm.common import read
 from rxcover.session import scratch_path
 
@@ -23,6 +23,10 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.summary(spark, read(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
@@ -55,6 +59,7 @@ SELECT doc_id, keep_id, group_size, k = 1 AS kept, text_sha256 FROM g
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_decontamination": op4_decontamination,
     "op5_language_id": op5_language_id,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_site_style": op8_site_style,
