@@ -65,13 +65,13 @@ class BitFilter:
         return out
 
 
-def bit_filter(keys: DataFrame, column: str, log2_bits: int = 24, chunks: int = 16) -> BitFilter:
+def bit_filter(keys: DataFrame, column: str, log2_bits: int = 24, step: int = 4096) -> BitFilter:
     """Bits of all values of the long ``column``. Every task sets its own
-    bits; tasks' bits are united by chunk on the executors; the driver gets
-    ``2 ** log2_bits`` bits, whatever the size of the input."""
+    bits; tasks' bits are united in pieces of ``step`` bytes on the
+    executors; the driver gets ``2 ** log2_bits`` bits, whatever the size of
+    the input."""
     size = (1 << log2_bits) // 8
     mask = np.uint64((1 << log2_bits) - 1)
-    step = size // chunks
 
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bits = np.zeros(size, np.uint8)
@@ -82,10 +82,8 @@ def bit_filter(keys: DataFrame, column: str, log2_bits: int = 24, chunks: int =
                 np.bitwise_or.at(bits, (s >> np.uint64(3)).astype(np.int64),
                                  np.uint8(1) << (s & np.uint64(7)).astype(np.uint8))
         if some:
-            for c in range(chunks):
-                piece = bits[c * step:(c + 1) * step]
-                if piece.any():
-                    yield pd.DataFrame({"chunk": [c], "bits": [piece.tobytes()]})
+            used = np.flatnonzero(bits.reshape(-1, step).any(axis=1))
+            yield pd.DataFrame({"chunk": used, "bits": [bits[c * step:(c + 1) * step].tobytes() for c in used]})
 
     def union(pdf: pd.DataFrame) -> pd.DataFrame:
         out = np.zeros(step, np.uint8)
@@ -93,7 +91,6 @@ def bit_filter(keys: DataFrame, column: str, log2_bits: int = 24, chunks: int =
             out |= np.frombuffer(b, np.uint8)
         return pd.DataFrame({"chunk": [int(pdf["chunk"].iloc[0])], "bits": [out.tobytes()]})
 
-    # few, larger tasks: the filter's bytes per task are fixed, not per row
     kept = keys.select(F.col(column).cast("long").alias(column)).where(F.col(column).isNotNull())
     parts = kept.mapInPandas(part, "chunk int, bits binary")
     rows = parts.groupBy("chunk").applyInPandas(union, "chunk int, bits binary").collect()
@@ -110,23 +107,21 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """``(node, component)`` for every node of the edges ``(a, b)``: the
     smallest node reachable. Large-star and small-star steps; each round is a
     written table, and a node's neighbours are never gathered in one row."""
-    spark = edges.sparkSession
     e = stored(edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
                .where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
                "cc")
+    mark = None
     for _ in range(rounds):
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
         # small star: every node's smaller neighbours and itself to the least
         low2 = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low2, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(low2.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
-        nxt = stored(small, "cc")
-        change = nxt.exceptAll(e).limit(1).count() + e.exceptAll(nxt).limit(1).count()
-        e = nxt
-        if not change:
+        e = stored(small, "cc")
+        last, mark = mark, e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u"))).collect()
+        if mark == last:
             break
     else:
         raise RuntimeError("components did not settle")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rxcover.llm import exact_dedup as xd
-from rxcover.llm import decontam, langid, pii_crf, sentencepiece, site_style, warc
+from rxcover.llm import decontam, langid, ngram_join, pii_crf, sentencepiece, site_style, warc
 from rxcover.llm.common import read
 from rxcover.session import scratch_path
 
@@ -35,6 +35,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return xd.exact_dedup(spark, read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_site_style(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_style.extract_pages(read(spark, sf_dir, "pages"))
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Query] = {
     "op4_decontamination": op4_decontamination,
     "op5_language_id": op5_language_id,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_ngram_join": op7_ngram_join,
     "op8_site_style": op8_site_style,
     "op9_pii_crf": op9_pii_crf,
 }
