@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rxcover.llm import exact_dedup as xd
-from rxcover.llm import decontam, langid, ngram_join, pii_crf, sentencepiece, site_style, warc
+from rxcover.llm import decontam, langid, ngram_join, pii_crf, sentencepiece, site_style, suffix_dedup, warc
 from rxcover.llm.common import read
 from rxcover.session import scratch_path
 
@@ -47,6 +47,10 @@ def op9_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_crf.find_pii(read(spark, sf_dir, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept")
+
+
 OP6_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(length(text), 0) AS n,
@@ -69,6 +73,7 @@ QUERIES: dict[str, Query] = {
     "op7_ngram_join": op7_ngram_join,
     "op8_site_style": op8_site_style,
     "op9_pii_crf": op9_pii_crf,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
