@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rxcover.llm import exact_dedup as xd
-from rxcover.llm import decontam, langid, ngram_join, pii_crf, sentencepiece, site_style, suffix_dedup, warc
+from rxcover.llm import decontam, langid, licenses, ngram_join, pii_crf, sentencepiece, site_style, suffix_dedup, warc
 from rxcover.llm.common import read
 from rxcover.session import scratch_path
 
@@ -19,6 +19,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_summary(spark, pages, scratch_path(spark, "llm", "warc", unique=True))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"), licenses.template_table(spark))
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.summary(spark, read(spark, sf_dir, "documents"))
 
@@ -66,6 +70,7 @@ SELECT doc_id, keep_id, group_size, k = 1 AS kept, text_sha256 FROM g
 
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
+    "op2_license_scan": op2_license_scan,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_decontamination": op4_decontamination,
     "op5_language_id": op5_language_id,
@@ -77,5 +82,6 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_license_scan": licenses.SQL,
     "op6_exact_dedup": OP6_SQL,
 }
