@@ -75,10 +75,15 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def contaminated(docs: DataFrame, items: DataFrame, least: int = LEAST, coverage: float = COVERAGE,
-                 log2_bits: int = 24) -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, **kw) -> DataFrame:
     """``doc_id, item_id, item_words, covered, tiles, coverage`` of every
     document and item whose tiling covers enough of the item."""
+    return tiled(docs, items, **kw).drop("code")
+
+
+def tiled(docs: DataFrame, items: DataFrame, least: int = LEAST, coverage: float = COVERAGE,
+          log2_bits: int = 24) -> DataFrame:
+    """As ``contaminated``, with a hash of the document's text (``code``)."""
     def item_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
@@ -100,23 +105,23 @@ def contaminated(docs: DataFrame, items: DataFrame, least: int = LEAST, coverage
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for i, row, text in zip(pdf["doc_id"], pdf["rid"], pdf["text"]):
+            for i, code, row, text in zip(pdf["doc_id"], pdf["code"], pdf["rid"], pdf["text"]):
                 w = word_hashes(text, WORD_ASCII)
                 found = [g[held.has(g)] for g in (gram_hashes(w, s) for s in sizes)]
                 found = np.unique(np.concatenate(found)) if found else []
                 if len(found):
-                    out.append((i, row, _signed(found).tolist(), _signed(w).tolist()))
-            yield pd.DataFrame(out, columns=["doc_id", "rid", "grams", "words"]).astype({"doc_id": "Int64"})
+                    out.append((i, code, row, _signed(found).tolist(), _signed(w).tolist()))
+            yield pd.DataFrame(out, columns=["doc_id", "code", "rid", "grams", "words"]).astype({"doc_id": "Int64"})
 
-    hits = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("rid"),
-                              "text").mapInPandas(scan, "doc_id long, rid long, grams array<bigint>, words array<bigint>"),
-                  "seed-hits")
+    hits = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("code"),
+                              F.monotonically_increasing_id().alias("rid"), "text").mapInPandas(
+        scan, "doc_id long, code long, rid long, grams array<bigint>, words array<bigint>"), "seed-hits")
     shared = hits.select("rid", F.explode("grams").alias("gram")).join(seeds, "gram")
     places = F.array_distinct(F.flatten(F.collect_set(F.sequence("place", F.col("place") + F.col("size") - 1))))
     pairs = shared.groupBy("rid", "row").agg(F.size(places).alias("reach"), F.first("n").alias("n")).where(
         F.col("reach") >= F.lit(coverage) * F.col("n")).select("rid", "row")
     both = pairs.join(known.select("row", "item_id", F.col("words").alias("item")), "row").join(
-        hits.select("rid", "doc_id", "words"), "rid")
+        hits.select("rid", "doc_id", "code", "words"), "rid")
 
     def tile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -126,15 +131,18 @@ def contaminated(docs: DataFrame, items: DataFrame, least: int = LEAST, coverage
                 found = tiles(item, np.asarray(r.words, np.int64).view(np.uint64), least)
                 covered = sum(k for _, _, k in found)
                 if covered >= coverage * len(item):
-                    out.append((r.doc_id, r.item_id, len(item), covered, len(found), covered / len(item)))
-            yield pd.DataFrame(out, columns=["doc_id", "item_id", "item_words", "covered", "tiles", "coverage"]).astype(
+                    out.append((r.doc_id, r.code, r.item_id, len(item), covered, len(found), covered / len(item)))
+            yield pd.DataFrame(out, columns=["doc_id", "code", "item_id", "item_words", "covered", "tiles", "coverage"]).astype(
                 {"doc_id": "Int64"})
 
-    return both.select("doc_id", "item_id", "item", "words").mapInPandas(
-        tile, f"doc_id long, item_id {kind}, item_words int, covered int, tiles int, coverage double")
+    return both.select("doc_id", "code", "item_id", "item", "words").mapInPandas(
+        tile, f"doc_id long, code long, item_id {kind}, item_words int, covered int, tiles int, coverage double")
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, **kw) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item."""
-    bad = contaminated(docs, items, **kw).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("__bad")), "left_anti")
+    bad = tiled(docs.select("doc_id", "text"), items, **kw).select(
+        F.col("doc_id").alias("__bad"), F.col("code").alias("__code")).distinct()
+    return docs.withColumn("__own", F.xxhash64("text")).join(
+        bad, F.col("doc_id").cast("long").eqNullSafe(F.col("__bad")) & (F.col("__own") == F.col("__code")),
+        "left_anti").select(*docs.columns)

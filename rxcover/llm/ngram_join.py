@@ -67,26 +67,31 @@ def leading(size: int, num: int, den: int) -> int:
     return min(size, size - -(-num * size // den) + shared_floor(size))
 
 
+def text_code():
+    """Tells rows of one doc_id with different texts apart."""
+    return F.xxhash64(F.col("text"))
+
+
 def _measure(docs: DataFrame, n: int) -> tuple[DataFrame, np.ndarray]:
-    """``doc_id, n, sig`` of every row, and the count sketch."""
+    """``doc_id, code, n, sig`` of every row, and the count sketch."""
     width = 1 << LOG2_SKETCH
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sketch = np.zeros(width, np.int64)
         for pdf in batches:
             out, grams = [], []
-            for i, text in zip(pdf["i"], pdf["t"]):
+            for i, code, text in zip(pdf["i"], pdf["code"], pdf["t"]):
                 g = shingles(text, n)
-                out.append((i, len(g), set_id(g)))
+                out.append((i, code, len(g), set_id(g)))
                 grams.append(g)
             if out:
                 slots = (mix64(np.concatenate(grams)) >> np.uint64(64 - LOG2_SKETCH)).astype(np.int64)
                 sketch += np.bincount(slots, minlength=width)
-                yield pd.DataFrame(out, columns=["doc_id", "n", "sig"]).assign(chunk=-1, counts=None).astype({"doc_id": "Int64"})
+                yield pd.DataFrame(out, columns=["doc_id", "code", "n", "sig"]).assign(chunk=-1, counts=None).astype({"doc_id": "Int64"})
         used = np.flatnonzero(sketch.reshape(-1, STEP).any(axis=1))
         if len(used):
             counts = np.minimum(sketch, 2 ** 31 - 1).astype(np.int32)
-            yield pd.DataFrame({"doc_id": pd.array([None] * len(used), "Int64"), "n": 0, "sig": 0, "chunk": used,
+            yield pd.DataFrame({"doc_id": pd.array([None] * len(used), "Int64"), "code": 0, "n": 0, "sig": 0, "chunk": used,
                                 "counts": [counts[c * STEP:(c + 1) * STEP].tobytes() for c in used]})
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -95,13 +100,13 @@ def _measure(docs: DataFrame, n: int) -> tuple[DataFrame, np.ndarray]:
             total += np.frombuffer(b, np.int32)
         return pd.DataFrame({"chunk": [int(pdf["chunk"].iloc[0])], "counts": [np.minimum(total, 2 ** 31 - 1).astype(np.int32).tobytes()]})
 
-    both = stored(docs.select(F.col("doc_id").cast("long").alias("i"), F.col("text").alias("t")).mapInPandas(
-        run, "doc_id long, n int, sig long, chunk int, counts binary"), "shingle-sizes")
+    both = stored(docs.select(F.col("doc_id").cast("long").alias("i"), text_code().alias("code"), F.col("text").alias("t")).mapInPandas(
+        run, "doc_id long, code long, n int, sig long, chunk int, counts binary"), "shingle-sizes")
     sketch = np.zeros(width, np.int32)
     for r in both.where("chunk >= 0").select("chunk", "counts").groupBy("chunk").applyInPandas(
             add, "chunk int, counts binary").collect():
         sketch[r["chunk"] * STEP:(r["chunk"] + 1) * STEP] = np.frombuffer(bytes(r["counts"]), np.int32)
-    return both.where("chunk < 0").select("doc_id", "n", "sig"), sketch
+    return both.where("chunk < 0").select("doc_id", "code", "n", "sig"), sketch
 
 
 def _columns(docs: DataFrame, n: int, num: int, den: int, sketch: np.ndarray) -> DataFrame:
@@ -216,9 +221,9 @@ def _strays(long_rows: DataFrame, edges: DataFrame, sets: DataFrame,
     return blocks.groupBy("h", "rb", "sb").applyInPandas(product, "a long, b long")
 
 
-def ngram_join(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` per row: rows link when their
-    n-gram sets have a Jaccard similarity of ``num / den`` or more."""
+def classified(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """``doc_id, code, n, c`` per row: the size of its set and its component
+    (null without a set)."""
     sizes, sketch = _measure(docs, n)
     columns = stored(_columns(docs, n, num, den, sketch), "shingle-columns")
     some = columns.groupBy("h").agg(F.min("sig").alias("lo"), F.max("sig").alias("hi")).where("lo < hi").select("h")
@@ -256,12 +261,19 @@ def ngram_join(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) -> Da
     more = stored(_strays(long_rows, edges, sets, num, den), "shingle-strays")
     roots = components(edges.union(more)).select(F.col("node").alias("sig"), "component")
 
-    named = stored(sizes.where("n > 0").join(roots, "sig", "left").select(
-        "doc_id", "n", F.coalesce("component", "sig").alias("c")), "shingle-classes")
-    least = named.groupBy("c").agg(F.min("doc_id").alias("component_id"))
-    linked = named.join(least, "c").select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
-    return linked.unionByName(sizes.where("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"),
-                                                          F.col("doc_id").alias("component_id")))
+    return stored(sizes.where("n > 0").join(roots, "sig", "left").select(
+        "doc_id", "code", "n", F.coalesce("component", "sig").alias("c")).unionByName(
+        sizes.where("n = 0").select("doc_id", "code", "n", F.lit(None).cast("long").alias("c"))), "shingle-classes")
+
+
+def ngram_join(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` per row: rows link when their
+    n-gram sets have a Jaccard similarity of ``num / den`` or more."""
+    rows = classified(docs, n, num, den).withColumn("n", F.col("n").cast("long"))
+    least = rows.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("component_id"))
+    linked = rows.where("c is not null").join(least, "c").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return linked.unionByName(rows.where("c is null").select("doc_id", F.col("n").alias("n_shingles"),
+                                                             F.col("doc_id").alias("component_id")))
 
 
 def shared_floor_column(size):
@@ -269,9 +281,15 @@ def shared_floor_column(size):
 
 
 def keep_representatives(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the smallest doc_id
-    (every row without a component's id, once per id)."""
-    ids = ngram_join(docs.select("doc_id", "text"), n, num, den)
-    gone = ids.where("doc_id <> component_id or (doc_id is null and component_id is not null)").select(
-        F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("__gone")), "left_anti")
+    """The rows of ``docs`` that stay: of each component the one with the
+    smallest doc_id (null last), every text without n-grams, and one of fully
+    repeated rows."""
+    rows = classified(docs.select("doc_id", "text"), n, num, den)
+    key = F.struct(F.col("doc_id").isNull().alias("nul"), "doc_id", "code")
+    heads = rows.where("c is not null").groupBy("c").agg(F.min(key).alias("k")).select("k.doc_id", "k.code").union(
+        rows.where("c is null").select("doc_id", "code")).distinct()
+    heads = heads.select(F.col("doc_id").alias("__id"), F.col("code").alias("__code"))
+    out = docs.withColumn("__own", text_code()).join(
+        heads, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__code")))
+    # repeated rows share the join's own keys: no exchange
+    return out.dropDuplicates(["__id", "__code"]).select(*docs.columns)

@@ -68,6 +68,29 @@ g AS (
 SELECT doc_id, keep_id, group_size, k = 1 AS kept, text_sha256 FROM g
 """
 
+OP7_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[\x20\x09-\x0D]+'), lambda x: x <> '') AS v
+  FROM documents),
+g AS (
+  SELECT doc_id, unnest(CASE WHEN len(v) = 0 THEN []
+                             WHEN len(v) < 4 THEN [array_to_string(v, ' ')]
+                             ELSE list_distinct(list_transform(range(1, len(v) - 2), lambda i: array_to_string(v[i:i + 3], ' '))) END) AS s
+  FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b
+  FROM g x JOIN g y ON x.s = y.s AND x.doc_id <> y.doc_id
+  JOIN n p ON p.doc_id = x.doc_id JOIN n q ON q.doc_id = y.doc_id
+  WHERE 100 * least(p.n, q.n) >= 85 * greatest(p.n, q.n)
+  GROUP BY x.doc_id, y.doc_id, p.n, q.n
+  HAVING 100 * count(*) >= 85 * (p.n + q.n - count(*))),
+reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, (SELECT min(b) FROM reach r WHERE r.a = d.doc_id) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id)
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_license_scan": op2_license_scan,
@@ -84,4 +107,5 @@ QUERIES: dict[str, Query] = {
 ORACLE_SQL: dict[str, str] = {
     "op2_license_scan": licenses.SQL,
     "op6_exact_dedup": OP6_SQL,
+    "op7_ngram_join": OP7_SQL,
 }

@@ -35,9 +35,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rxcover.llm.common import stored
+
 GAMMA = 0.9
 #: A branch is noise below this share of its host body's importance.
 CONTRAST = 0.5
+#: A host's pages are dealt over so many tasks.
+SALTS = 64
 #: Hosts with fewer pages than this have too few styles to compare.
 LEAST_PAGES = 8
 
@@ -298,7 +302,10 @@ def extract_pages(pages: DataFrame, **kw) -> DataFrame:
                          dtype=object)
 
     rows = pages.select("page_id", "url", "html")
-    judged = rows.withColumn("__host", host_of(F.col("url"))).join(
-        low_paths(rows, **kw).withColumnRenamed("host", "__host"), "__host", "left")
+    # a host may hold a third of all pages: its few paths go to every salt
+    low = stored(low_paths(rows, **kw), "low-paths").select(
+        F.col("host").alias("__host"), "low", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"))
+    judged = rows.withColumns({"__host": host_of(F.col("url")), "__salt": F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")}).join(
+        low, ["__host", "__salt"], "left")
     return judged.select("page_id", "url", run("html", "low").alias("text")).select(
         "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -1,0 +1,77 @@
+import random
+import re
+
+import corpus_pipeline as cp
+from rxcover.llm import sentencepiece as sp
+from rxcover.session import scratch_path
+
+from tests.llm.test_decontam import greedy
+from tests.llm.test_ngram_join import grams
+
+
+def fixture(spark, make_docs):
+    rng = random.Random(4)
+    vocab = {k: ["".join(rng.choice(c) for _ in range(rng.randrange(2, 8))) for _ in range(300)]
+             for k, c in {"en": "thenoinrd", "de": "schungeük"}.items()}
+    text = lambda k, n: " ".join(rng.choice(vocab[k]) for _ in range(n))
+    items = [(i, text("en", 25)) for i in range(4)]
+    rows = [(i, text(k, rng.randrange(10, 60)), k) for i in range(60) for k in [rng.choice(["en", "de"])]]
+    rows += [(100 + i, rows[i][1].replace(" ", "  ", 2), "en") for i in range(5)]           # copies
+    rows += [(200 + i, rows[i + 10][1] + " tail", "en") for i in range(5)]                  # near copies
+    rows += [(300 + i, text("en", 10) + " " + items[i][1] + " " + text("en", 10), "en") for i in range(4)]
+    w = items[0][1].split()
+    rows += [(310, " ".join(w[12:] + [text("en", 5)] + w[:12]), "en"), (400, None, "en"), (401, "12 34 ...", "en"), (402, "", "de")]
+    rows += [rows[7], (7, text("en", 30), "en"), (None, text("de", 30), "de")]
+    d = scratch_path(spark, "llm", "pipeline-test", unique=True)
+    make_docs(rows).repartition(3).write.parquet(f"{d}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+    return d, rows, items
+
+
+def brute(rows, items):
+    rows = [(i, t) for i, t, _ in rows if any(map(str.isalpha, t or ""))]
+    best = {}
+    for i, t in rows:
+        k = re.sub("[\x20\x09-\x0d]", "", t)
+        best[k] = min(best.get(k, ((9,),)), ((-len(t), i is None, i or 0), i, t))
+    rows = [(i, t) for _, i, t in best.values()]
+    sets = [grams(t, 5) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(x):
+        return x if root[x] == x else find(root[x])
+
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                root[find(i)] = find(j)
+    least = {}
+    for k, (i, t) in enumerate(rows):
+        least[find(k)] = min(least.get(find(k), (True, 10 ** 9, "")), (i is None, i or 0, t))
+    keep = [(None if nul else i, t) for nul, i, t in least.values()]
+    tok = lambda t: re.findall(r"\w+", t.lower())
+    return sorted([(i, t) for i, t in keep if not any(
+        sum(k for *_, k in greedy(tok(x), tok(t), 5)) >= 0.5 * len(tok(x)) for _, x in items)], key=repr)
+
+
+def test_run_equals_brute_force(spark, make_docs):
+    assert [n for n, _ in cp.STAGES] == ["language ID", "exact dedup", "n-gram Jaccard join", "benchmark decontamination",
+                                         "SentencePiece encoding and decoding"]
+    d, rows, items = fixture(spark, make_docs)
+    got = cp.run(spark, d).collect()
+    v = sp.Vocabulary.load()
+    assert all(r.lossless and len(r.pieces) == r.n_pieces for r in got)
+    assert sorted([(r.doc_id, v.decode(r.pieces)) for r in got], key=repr) == brute(rows, items)
+
+
+def test_stages_keep_columns_and_empty_tables(spark, make_docs):
+    d, _, _ = fixture(spark, make_docs)
+    extra = ("kept", "sig", "pieces", "code", "__x")
+    for empty in (False, True):
+        docs = make_docs([] if empty else [(1, "the garden and the house", "en"), (1, "the garden and the house", "en")], extra=extra)
+        for _, stage in cp.STAGES[:-1]:
+            out = stage(spark, docs, d)
+            assert out.columns == docs.columns
+            assert out.count() <= docs.count() and (not empty or out.count() == 0)
+        assert cp.STAGES[-1][1](spark, docs, d).count() == docs.count()
