@@ -135,6 +135,9 @@ DDD_LOOKUP_PAGE_SIZE = 15
 LOADED_MESSAGE = "Loaded {n} records."
 MISSING_MESSAGE = "Data file not found. Run pipeline first."
 
+# FIXED VALUES: text before the total of the overall chart.
+TOTAL_TEXT = "Total VMPs: "
+
 # FIXED VALUES: the "no filter" choice of the group parameter.
 ALL_GROUPS = "All"
 

@@ -2,12 +2,13 @@
 them, text search over that table, and paging.
 
 ``ddd_lookup`` groups on (ATC code, dose, unit, mg) and joins the distinct
-names of each group. ``collect_set`` is aggregated partially in every map
-task, so repeated names (copies of one product) collapse before the
-shuffle; what reaches the final task of a group is its distinct names,
-which is also the size of its output row. ``ddd_lookup_names`` is the
-same result in long form (one row per group and name) for consumers that
-need bounded rows.
+names of each group. Names are made distinct per group first, which spreads a
+hot group over tasks by name and combines copies map-side; only then are a
+group's names collected. The final row is as wide as the group's names: that
+is the feature. Everything else avoids it: a page picks its group keys before
+any name is collected (``lookup_page``), a search tests names row by row and
+collects only the groups that match (``lookup_search``), and
+``ddd_lookup_names`` is the same table in long form.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rxcover import codes
+from rxcover.operators.order import rows_after
 
 LOOKUP_GROUP = ("atc_code", "ddd", "ddd_uom", "ddd_mg")
 
@@ -35,16 +37,80 @@ def _name_ok(name: Column) -> Column:
     return name.isNotNull() & (F.length(name) > 0)
 
 
+def _collected(slim: DataFrame) -> DataFrame:
+    keys = present(slim, LOOKUP_GROUP)
+    name = F.when(_name_ok(F.col("vmp_nm")), F.col("vmp_nm"))
+    names = F.array_join(F.array_sort(F.collect_list("vmp_nm")), codes.NAME_SEPARATOR)
+    return slim.select(*keys, name.alias("vmp_nm")).distinct().groupBy(*keys).agg(names.alias("drug_names"))
+
+
+def _key_order(keys: list[str]) -> list[Column]:
+    return [F.col(k).asc_nulls_last() for k in keys]
+
+
 def ddd_lookup(df: DataFrame) -> DataFrame:
     """One row per dose combination present (null is a group value), with
     the distinct non-empty product names sorted and joined by ``" | "``
     (``""`` when there are none). Ordered by ATC code, nulls last."""
     slim = _with_dose(df)
+    return _collected(slim).orderBy(*_key_order(present(slim, LOOKUP_GROUP)))
+
+
+def _of_keys(slim: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``slim`` whose group is among ``wanted`` (null-safe)."""
+    names = [f"_k{i}" for i in range(len(keys))]
+    cond = None
+    for k, n in zip(keys, names):
+        c = slim[k].eqNullSafe(F.col(n))
+        cond = c if cond is None else cond & c
+    return slim.join(wanted.toDF(*names), cond, "left_semi")
+
+
+def lookup_page(df: DataFrame, page_no: int = 1, size: int = codes.DDD_LOOKUP_PAGE_SIZE,
+                after: tuple | None = None) -> DataFrame:
+    """A page of ``ddd_lookup``: a top-k of the distinct group keys, then the
+    names of those groups only. With ``after`` (the last key shown) it is the
+    next page, at the cost of a first one; ``page_no`` skips by offset."""
+    slim = _with_dose(df)
+    keys = present(slim, LOOKUP_GROUP)
+    groups = slim.select(*keys).distinct()
+    if after is not None:
+        groups = rows_after(groups, keys, after)
+    wanted = page(groups, 1 if after is not None else page_no, size, _key_order(keys))
+    return _collected(_of_keys(slim, wanted, keys)).orderBy(*_key_order(keys))
+
+
+def lookup_search(df: DataFrame, term: str | None = None,
+                  column_terms: dict[str, str | tuple] | None = None) -> DataFrame:
+    """``ddd_search(ddd_lookup(df), ...)`` without collecting the names of
+    groups that do not match: every word is tested on the group's cells and,
+    row by row, on its names."""
+    slim = _with_dose(df)
     keys = present(slim, LOOKUP_GROUP)
-    name = F.col("vmp_nm")
-    names = F.array_join(F.array_sort(F.collect_set(F.when(_name_ok(name), name))), codes.NAME_SEPARATOR)
-    return (slim.groupBy(*keys).agg(names.alias("drug_names"))
-            .orderBy(*[F.col(k).asc_nulls_last() for k in keys]))
+    types = dict(slim.dtypes)
+    name = F.when(_name_ok(F.col("vmp_nm")), F.lower("vmp_nm"))
+
+    def in_names(w: str) -> Column:
+        # no word holds a space, so across names it can only be the bar
+        hit = F.coalesce(F.bool_or(name.contains(w)), F.lit(False))
+        return hit | (F.min(name) < F.max(name)) if w == codes.NAME_SEPARATOR.strip() else hit
+
+    words = [w.lower() for w in (term or "").split()]
+    cells = {c: t for c, t in (column_terms or {}).items() if c != "drug_names"}
+    flags = [in_names(w).alias(f"_w{i}") for i, w in enumerate(words)]
+    whole = (column_terms or {}).get("drug_names")
+    groups = slim.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *flags)
+    for i, w in enumerate(words):
+        hit = F.col(f"_w{i}")
+        for c in keys:
+            hit = hit | _cell_has(c, types[c], w)
+        groups = groups.filter(hit)
+    for c, t in cells.items():
+        groups = groups.filter(_column_test(c, types[c], t))
+    out = _collected(_of_keys(slim, groups.select(*keys), keys))
+    if whole is not None:  # a phrase may run across names
+        out = out.filter(_column_test("drug_names", "string", whole))
+    return out
 
 
 def ddd_lookup_names(df: DataFrame) -> DataFrame:
@@ -55,43 +121,61 @@ def ddd_lookup_names(df: DataFrame) -> DataFrame:
 
 
 def shown(c: str, dtype: str) -> Column:
-    """A cell as the table shows it: whole numbers without a decimal part
-    (``1500.0`` shows as ``1500``), other values as text."""
+    """A cell as the table shows it: numbers as plain decimals without
+    trailing zeros or exponent (``1500.0`` shows as ``1500``, ``5.0E-4`` as
+    ``0.0005``), other values as text. Doubles of 1e20 and more, which have
+    no plain form here, keep their text."""
     x = F.col(c)
     if dtype in ("double", "float"):
-        whole = (x == F.floor(x)) & (F.abs(x) < F.lit(1e15))
-        return F.when(whole, x.cast("bigint").cast("string")).otherwise(x.cast("string"))
+        plain = x.try_cast("decimal(38,18)").cast("string")
+        return F.coalesce(F.rtrim(F.rtrim(plain, F.lit("0")), F.lit(".")), x.cast("string"))
     return x.cast("string")
 
 
+def _cell_has(c: str, dtype: str, word: str) -> Column:
+    return F.coalesce(F.lower(shown(c, dtype)).contains(word), F.lit(False))
+
+
+def _column_test(c: str, dtype: str, wanted: str | tuple) -> Column:
+    """Text: the shown cell contains it, ignoring case. A pair: the number
+    lies in the range, both ends included (None: open)."""
+    if isinstance(wanted, str):
+        return _cell_has(c, dtype, wanted.lower())
+    lo, hi = wanted
+    cond = F.col(c).isNotNull()
+    if lo is not None:
+        cond = cond & (F.col(c) >= F.lit(lo))
+    return cond if hi is None else cond & (F.col(c) <= F.lit(hi))
+
+
 def ddd_search(lookup: DataFrame, term: str | None = None,
-               column_terms: dict[str, str] | None = None) -> DataFrame:
-    """Rows of the lookup matching a search.
+               column_terms: dict[str, str | tuple] | None = None) -> DataFrame:
+    """Rows of a table matching a search.
 
     ``term`` is split on whitespace and every word must occur, ignoring
     case, in at least one cell of the row as shown. ``column_terms`` adds
-    per-column filters: the column's shown text must contain the term,
-    ignoring case.
+    per-column filters: a text the shown cell must contain, ignoring case,
+    or for a numeric column a range ``(low, high)``.
     """
     types = dict(lookup.dtypes)
     out = lookup
     for word in (term or "").split():
-        w = word.lower()
         hit = None
         for c in lookup.columns:
-            h = F.coalesce(F.lower(shown(c, types[c])).contains(w), F.lit(False))
+            h = _cell_has(c, types[c], word.lower())
             hit = h if hit is None else (hit | h)
         out = out.filter(hit)
     for c, t in (column_terms or {}).items():
-        out = out.filter(F.coalesce(F.lower(shown(c, types[c])).contains(t.lower()), F.lit(False)))
+        out = out.filter(_column_test(c, types[c], t))
     return out
 
 
 def page(df: DataFrame, page_no: int = 1, size: int = codes.DDD_LOOKUP_PAGE_SIZE,
          order: list[Column] | None = None) -> DataFrame:
     """Page ``page_no`` (1-based) of ``size`` rows in the given total order.
-    Planned as a top-k (``TakeOrderedAndProject``) with an offset, so no
-    task sorts more than ``page_no * size`` rows per partition."""
+    Planned as a top-k (``TakeOrderedAndProject``) of ``page_no * size``
+    rows; for deep pages of a large table, filter with
+    :func:`rxcover.operators.order.rows_after` and take page 1."""
     ordered = df.orderBy(*order) if order else df
     return ordered.offset((page_no - 1) * size).limit(size)
 

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from rxcover import codes
 from rxcover.functions.classify import atc_group, group_codes, j01_class, status_rank
 from rxcover.functions.dose import lookup
-from rxcover.functions.labels import count_share_label, ratio_label
+from rxcover.functions.labels import comma, count_share_label, percent, ratio_label
+from rxcover.operators.order import spread_order
 
 
 # A report input is either rows (prepared spine rows) or a count cube with
@@ -38,9 +39,16 @@ def _total(df: DataFrame):
     return F.coalesce(_n(df), F.lit(0)).cast("bigint") if WEIGHT in df.columns else _n(df)
 
 
+def share(part, total):
+    """``part / total`` as a double; null when the total is zero (an empty
+    report has no rows or null shares, it never fails)."""
+    return F.try_divide(F.col(part).cast("double") if isinstance(part, str) else part,
+                        F.col(total) if isinstance(total, str) else total)
+
+
 def _share_of_total(counts: DataFrame, n: str = "n", pct: str = "pct") -> DataFrame:
     # Window over the already aggregated rows (a handful), never raw rows.
-    return counts.withColumn(pct, F.col(n) / F.sum(n).over(Window.partitionBy()))
+    return counts.withColumn(pct, share(n, F.sum(n).over(Window.partitionBy())))
 
 
 def filter_group(prepared: DataFrame, group: str = codes.ALL_GROUPS) -> DataFrame:
@@ -51,7 +59,7 @@ def filter_group(prepared: DataFrame, group: str = codes.ALL_GROUPS) -> DataFram
         return prepared
     wanted = group_codes(group)
     if not wanted:
-        return prepared.limit(0)
+        return prepared.filter(F.lit(False))
     cond = None
     for code in wanted:
         c = (F.col("atc_code").startswith(code) if "atc_code" in prepared.columns
@@ -69,8 +77,9 @@ def coverage(prepared: DataFrame, group: str = codes.ALL_GROUPS, levels: int = 4
 
 
 def coverage_labels(prepared: DataFrame, group: str = codes.ALL_GROUPS) -> DataFrame:
-    """Coverage with the bar label ``12,345\\n(66.6%)``."""
-    return coverage(prepared, group).withColumn("label", count_share_label("n", "pct"))
+    """Coverage with the bar label ``12,345\\n(66.6%)`` and the compact
+    chart's ``66.6%``."""
+    return coverage(prepared, group).withColumns({"label": count_share_label("n", "pct"), "pct_label": percent("pct", 1)})
 
 
 def group_coverage(prepared: DataFrame) -> DataFrame:
@@ -81,14 +90,15 @@ def group_coverage(prepared: DataFrame) -> DataFrame:
               .groupBy("atc_group", "mapping_status").agg(_n(prepared).alias("n")))
     w = Window.partitionBy("atc_group")
     return (counts.withColumn("group_total", F.sum("n").over(w))
-            .withColumn("pct", F.col("n") / F.col("group_total"))
+            .withColumn("pct", share("n", "group_total"))
             .orderBy(F.desc("group_total"), "atc_group", "mapping_status"))
 
 
 def group_gap_rate(prepared: DataFrame, min_size: int = codes.MIN_GROUP_SIZE) -> DataFrame:
     """Share of rows without an ATC code per anatomical group, for groups of
     at least ``min_size`` rows. Rows are first restricted to a non-empty
-    level-1 code, so the rate is zero by construction, as in the report."""
+    level-1 code, so the rate is zero by construction, as in the report. The
+    label is the rate as a whole percent."""
     if "atc_code" in prepared.columns:
         atc = F.col("atc_code")
         coded = prepared.filter(atc.isNotNull() & (atc != ""))
@@ -98,8 +108,9 @@ def group_gap_rate(prepared: DataFrame, min_size: int = codes.MIN_GROUP_SIZE) ->
             .withColumn("atc_group", atc_group("atc_level1_code", "code"))
             .groupBy("atc_group")
             .agg(_n(coded).alias("total"), _n_if(coded, ~F.col("has_atc")).alias("unmapped"))
-            .withColumn("pct_unmapped", F.col("unmapped") / F.col("total"))
+            .withColumn("pct_unmapped", share("unmapped", "total"))
             .filter(F.col("total") >= min_size)
+            .withColumn("label", percent("pct_unmapped", 0))
             .orderBy(F.desc("pct_unmapped"), "atc_group"))
 
 
@@ -107,13 +118,14 @@ def abx_subclass(antibiotics: DataFrame) -> DataFrame:
     """Antibiotic rows by J01 subclass and status, subclass total and share."""
     counts = antibiotics.groupBy("j01_class", "mapping_status").agg(_n(antibiotics).alias("n"))
     return (counts.withColumn("total", F.sum("n").over(Window.partitionBy("j01_class")))
-            .withColumn("pct", F.col("n") / F.col("total"))
+            .withColumn("pct", share("n", "total"))
             .orderBy("total", "j01_class", "mapping_status"))
 
 
 def abx_subclass_total(antibiotics: DataFrame) -> DataFrame:
-    """Antibiotic rows per J01 subclass."""
-    return antibiotics.groupBy("j01_class").agg(_n(antibiotics).alias("total")).orderBy("total", "j01_class")
+    """Antibiotic rows per J01 subclass, with the label ``1,234``."""
+    return (antibiotics.groupBy("j01_class").agg(_n(antibiotics).alias("total"))
+            .withColumn("label", comma("total")).orderBy("total", "j01_class"))
 
 
 def abx_level4(antibiotics: DataFrame) -> DataFrame:
@@ -123,7 +135,7 @@ def abx_level4(antibiotics: DataFrame) -> DataFrame:
               .groupBy("atc_level4_code", "atc_level3_code").agg(_n(antibiotics).alias("n"))
               .withColumn("j01_class", j01_class("atc_level3_code", "code")))
     return (counts.withColumn("pct_within_class",
-                              F.col("n") / F.sum("n").over(Window.partitionBy("j01_class")))
+                              share("n", F.sum("n").over(Window.partitionBy("j01_class"))))
             .orderBy("j01_class", F.desc("n"), "atc_level4_code"))
 
 
@@ -138,7 +150,7 @@ def abx_ddd(antibiotics: DataFrame) -> DataFrame:
             has_ddd = has_ddd & (ddd != "")
     return (antibiotics.groupBy("j01_class")
             .agg(_n(antibiotics).alias("total"), _n_if(antibiotics, has_ddd).alias("with_ddd"))
-            .withColumn("pct_ddd", F.col("with_ddd") / F.col("total"))
+            .withColumn("pct_ddd", share("with_ddd", "total"))
             .orderBy("pct_ddd", "j01_class"))
 
 
@@ -175,29 +187,33 @@ def abx_status_long(antibiotics: DataFrame) -> DataFrame:
     long = wide.unpivot(["total"], list(codes.ABX_STATUS_COLUMNS), "status_key", "n")
     recode = lookup(codes.ABX_STATUS_COLUMNS, "status_key")
     return (long.select("total", recode.alias("status"), "n")
-            .withColumn("pct", F.col("n") / F.col("total"))
+            .withColumn("pct", share("n", "total"))
+            .withColumn("label", percent("pct", 1))
             .orderBy(status_rank("status", 3)))
 
 
 def summary(prepared: DataFrame) -> DataFrame:
     """Console summary in one row: rows, rows with BNF / ATC code and their
-    percent, antibiotic rows (count of true)."""
+    percent, antibiotic rows (count of true), and the overall chart's text of
+    the total."""
     return (prepared.agg(
         _total(prepared).alias("total"),
         _n_if(prepared, F.col("has_bnf")).alias("with_bnf"),
         _n_if(prepared, F.col("has_atc")).alias("with_atc"),
         _n_if(prepared, F.col("is_antibiotic")).alias("antibiotics"))
-        .withColumn("pct_bnf", F.col("with_bnf") / F.col("total") * 100)
-        .withColumn("pct_atc", F.col("with_atc") / F.col("total") * 100)
-        .select("total", "with_bnf", "pct_bnf", "with_atc", "pct_atc", "antibiotics"))
+        .withColumn("pct_bnf", share("with_bnf", "total") * 100)
+        .withColumn("pct_atc", share("with_atc", "total") * 100)
+        .withColumn("label", F.concat(F.lit(codes.TOTAL_TEXT), comma("total")))
+        .select("total", "with_bnf", "pct_bnf", "with_atc", "pct_atc", "antibiotics", "label"))
 
 
 def abx_missing(antibiotics: DataFrame, display_names: bool = True) -> DataFrame:
     """Antibiotics without an ATC code: id, name, BNF code and status,
     ordered by name (nulls last), with the table's display headers."""
     cols = list(codes.ABX_MISSING_HEADERS)
-    out = (antibiotics.filter(~F.col("has_atc")).select(*cols)
-           .orderBy(F.asc_nulls_last("vmp_nm"), "vpid", "bnf_code"))
+    out = spread_order(antibiotics.filter(~F.col("has_atc")).select(*cols),
+                       [F.asc_nulls_last("vmp_nm"), F.col("vpid"), F.asc_nulls_last("bnf_code"),
+                        F.asc_nulls_last("mapping_status")])
     if display_names:
         out = out.toDF(*[codes.ABX_MISSING_HEADERS[c] for c in cols])
     return out

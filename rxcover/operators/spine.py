@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from rxcover import codes
 from rxcover.functions.dose import default_unit, finite_or_infinite, number_of, numeric_text, to_mg, unit_key
 from rxcover.functions.text import trim_text
+from rxcover.operators.order import spread_order
 
 SPINE_COLUMNS = ("vpid", "vmp_nm", "vtmid", "vpid_prev", "bnf_code", "atc_code", "ddd", "ddd_uom", "ddd_mg")
 
@@ -152,18 +153,12 @@ def sort_spine(spine: DataFrame) -> DataFrame:
     """Deterministic order: by ``vpid`` as text, remaining columns as
     tie-breaks (several rows share a vpid).
 
-    A range exchange sends equal sort keys to one partition. With every
-    column in the key, a hot ``vpid`` is split by its other columns; for
-    identical rows (copies) the last tie-break is the partition the row
-    comes from, so copies spread over many input partitions are split too.
-    That value depends only on which partition holds a row, so a retried
-    task produces the same keys. Identical rows are indistinguishable, so
-    the output is the same as a sort by the columns alone.
+    Every column is in the order, so a hot ``vpid`` is split (see
+    :func:`rxcover.operators.order.spread_order`).
     """
     cols = spine.columns
     order = [F.col("vpid").asc()] + [F.col(c).asc_nulls_first() for c in cols if c != "vpid"]
-    return (spine.withColumn("_from_part", F.spark_partition_id())
-            .orderBy(*order, F.col("_from_part")).drop("_from_part"))
+    return spread_order(spine, order)
 
 
 def build_spine(vmp: DataFrame, bnf: DataFrame, validate: bool = True, sort: bool = False,

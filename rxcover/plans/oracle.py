@@ -106,7 +106,7 @@ vmp AS (
          CASE WHEN p_partkey % 10 = 1 THEN CAST(p_partkey - 1 AS VARCHAR) ELSE '' END AS vpid_prev
   FROM part),
 bnf_raw AS (
-  SELECT CAST(l_partkey AS VARCHAR) AS vpid,
+  SELECT CASE l_partkey % 7 WHEN 0 THEN printf('X%d', l_partkey) ELSE CAST(l_partkey AS VARCHAR) END AS vpid,
          CASE WHEN l_suppkey % 5 = 0 THEN ''
               WHEN l_suppkey % 5 IN (1, 2) THEN '0501' || lpad(CAST(l_linenumber AS VARCHAR), 2, '0')
               ELSE '0407' || lpad(CAST(l_linenumber AS VARCHAR), 2, '0') END AS bnf_code,
@@ -120,7 +120,7 @@ bnf_raw AS (
               WHEN 3 THEN '258774008' WHEN 4 THEN '396186001' ELSE '' END AS ddd_uomcd,
          CASE l_suppkey % 9 WHEN 5 THEN ' G ' WHEN 6 THEN 'kg' WHEN 7 THEN 'µg' WHEN 0 THEN 'ignored'
               ELSE '' END AS ddd_uom_text
-  FROM lineitem WHERE l_partkey % 7 <> 0),
+  FROM lineitem),
 bnf AS (
   SELECT vpid, trim(bnf_code) AS bnf_code, trim(atc_code) AS atc_code, trim(ddd) AS ddd,
          coalesce({_case_map('u', codes.UNIT_CODES)}, u) AS ddd_uom
@@ -160,11 +160,17 @@ FROM (SELECT mapping_status, count(*) AS n FROM prepared {where} GROUP BY mappin
 
 def _shown(c: str) -> str:
     if c in ("ddd", "ddd_mg"):
-        return (f"CASE WHEN {c} = floor({c}) AND abs({c}) < 1e15 THEN CAST(CAST({c} AS BIGINT) AS VARCHAR) "
-                f"ELSE CAST({c} AS VARCHAR) END")
+        return (f"coalesce(rtrim(rtrim(CAST(TRY_CAST({c} AS DECIMAL(38, 18)) AS VARCHAR), '0'), '.'), "
+                f"CAST({c} AS VARCHAR))")
     return c
 
 
+def _column_test(c: str, wanted) -> str:
+    if isinstance(wanted, tuple):
+        return f"{c} BETWEEN {wanted[0]!r} AND {wanted[1]!r}"
+    return f"coalesce(contains(lower({_shown(c)}), {_lit(wanted.lower())}), false)"
+
+
 def _search_word(w: str) -> str:
     cols = ("atc_code", "ddd", "ddd_uom", "ddd_mg", "drug_names")
     return "(" + " OR ".join(f"coalesce(contains(lower({_shown(c)}), {_lit(w.lower())}), false)"
@@ -175,6 +181,11 @@ def _quoted(name: str) -> str:
     return '"' + name.replace('"', '""') + '"'
 
 
+# The names that need quoting, by the last character of the key.
+_ODD_NAME = """CASE ascii(right(vpid, 1)) % 8 WHEN 0 THEN 'a "quoted", ' || vmp_nm WHEN 1 THEN vmp_nm || chr(10) || 'next line'
+       WHEN 2 THEN '  ' || vmp_nm || ' ' WHEN 3 THEN vmp_nm || chr(92) WHEN 4 THEN '"' || vmp_nm
+       WHEN 5 THEN vmp_nm || chr(13) || chr(10) || 'x' ELSE vmp_nm END"""
+
 BODIES: dict[str, str] = {
     # sources
     "xml_vmp_records": "SELECT * FROM vmp",
@@ -193,7 +204,7 @@ UNION ALL SELECT 'lineitem', true, count(*), 'Loaded ' || {_comma('count(*)')} |
 UNION ALL SELECT 'spine', false, CAST(NULL AS BIGINT), {_lit(codes.MISSING_MESSAGE)}""",
     # sinks
     "roundtrip_parquet": "SELECT * FROM spine",
-    "roundtrip_csv": """SELECT nullif(vpid, '') AS vpid, nullif(vmp_nm, '') AS vmp_nm, nullif(vtmid, '') AS vtmid,
+    "roundtrip_csv": f"""SELECT nullif(vpid, '') AS vpid, nullif({_ODD_NAME}, '') AS vmp_nm, nullif(vtmid, '') AS vtmid,
        nullif(vpid_prev, '') AS vpid_prev, nullif(bnf_code, '') AS bnf_code, nullif(atc_code, '') AS atc_code,
        ddd, nullif(ddd_uom, '') AS ddd_uom, ddd_mg FROM spine""",
     "catalog_tables": "SELECT * FROM spine",
@@ -231,23 +242,24 @@ FROM (SELECT atc_level1_code, count(*) AS n FROM prepared GROUP BY atc_level1_co
     # reports
     "coverage": _coverage(),
     "coverage_labels": f"""SELECT mapping_status, n, pct,
-       {_comma('n')} || chr(10) || '(' || {_pct('pct', 1)} || ')' AS label
+       {_comma('n')} || chr(10) || '(' || {_pct('pct', 1)} || ')' AS label, {_pct('pct', 1)} AS pct_label
 FROM ({_coverage()})""",
     "group_filter": _coverage("WHERE " + " OR ".join(
         f"starts_with(atc_code, {_lit(c)})" for c, v in codes.ATC_GROUP_LABELS.items() if v == q.GROUP_PARAMETER)),
+    "group_filter_empty": f"""SELECT mapping_status, n, pct, CAST(NULL AS VARCHAR) AS label, CAST(NULL AS VARCHAR) AS pct_label FROM ({_coverage("WHERE false")})""",
     "group_coverage": f"""SELECT atc_group, mapping_status, n,
        CAST(sum(n) OVER (PARTITION BY atc_group) AS BIGINT) AS group_total,
        n / sum(n) OVER (PARTITION BY atc_group) AS pct
 FROM (SELECT {_group_other('atc_level1_code')} AS atc_group, mapping_status, count(*) AS n
       FROM prepared WHERE has_atc GROUP BY 1, 2)""",
-    "group_gap_rate": f"""SELECT atc_group, total, unmapped, unmapped / total AS pct_unmapped
+    "group_gap_rate": f"""SELECT *, {_pct('pct_unmapped', 0)} AS label FROM (SELECT atc_group, total, unmapped, unmapped / total AS pct_unmapped
 FROM (SELECT {_group_code('atc_level1_code')} AS atc_group, count(*) AS total, count(*) FILTER (WHERE NOT has_atc) AS unmapped
       FROM prepared WHERE atc_code IS NOT NULL AND atc_code <> '' GROUP BY 1)
-WHERE total >= {codes.MIN_GROUP_SIZE}""",
+WHERE total >= {codes.MIN_GROUP_SIZE})""",
     "abx_subclass": """SELECT j01_class, mapping_status, n, CAST(sum(n) OVER (PARTITION BY j01_class) AS BIGINT) AS total,
        n / sum(n) OVER (PARTITION BY j01_class) AS pct
 FROM (SELECT j01_class, mapping_status, count(*) AS n FROM antibiotics GROUP BY 1, 2)""",
-    "abx_subclass_total": "SELECT j01_class, count(*) AS total FROM antibiotics GROUP BY j01_class",
+    "abx_subclass_total": f"SELECT j01_class, count(*) AS total, {_comma('count(*)')} AS label FROM antibiotics GROUP BY j01_class",
     "abx_level4": f"""SELECT atc_level4_code, atc_level3_code, n, j01_class,
        n / sum(n) OVER (PARTITION BY j01_class) AS pct_within_class
 FROM (SELECT atc_level4_code, atc_level3_code, count(*) AS n, {_class_code('atc_level3_code')} AS j01_class
@@ -263,12 +275,12 @@ FROM (SELECT status, n, n / sum(n) OVER () AS pct
       FROM (SELECT CASE WHEN has_atc THEN {_lit(codes.GAP_MAPPED)} ELSE {_lit(codes.GAP_MISSING)} END AS status,
                    count(*) AS n FROM antibiotics GROUP BY 1))""",
     "abx_gap_status": "SELECT mapping_status, count(*) AS n FROM antibiotics WHERE NOT has_atc GROUP BY mapping_status",
-    "abx_status_long": """SELECT total, status, n, n / total AS pct FROM (
+    "abx_status_long": f"""SELECT total, status, n, n / total AS pct, {_pct('n / total', 1)} AS label FROM (
   SELECT total, 'ATC + BNF' AS status, fully_mapped AS n FROM w
   UNION ALL SELECT total, 'BNF only', bnf_only FROM w
   UNION ALL SELECT total, 'Unmapped', unmapped FROM w)""",
-    "summary": """SELECT total, with_bnf, with_bnf / total * 100 AS pct_bnf, with_atc, with_atc / total * 100 AS pct_atc,
-       antibiotics
+    "summary": f"""SELECT total, with_bnf, with_bnf / total * 100 AS pct_bnf, with_atc, with_atc / total * 100 AS pct_atc,
+       antibiotics, {_lit(codes.TOTAL_TEXT)} || {_comma('total')} AS label
 FROM (SELECT count(*) AS total, count(*) FILTER (WHERE has_bnf) AS with_bnf, count(*) FILTER (WHERE has_atc) AS with_atc,
              count(*) FILTER (WHERE is_antibiotic) AS antibiotics FROM prepared)""",
     "abx_missing": "SELECT " + ", ".join(f"{c} AS {_quoted(h)}" for c, h in codes.ABX_MISSING_HEADERS.items())
@@ -279,7 +291,7 @@ FROM (SELECT count(*) AS total, count(*) FILTER (WHERE has_bnf) AS with_bnf, cou
 WHERE ddd IS NOT NULL AND vmp_nm IS NOT NULL AND length(vmp_nm) > 0""",
     "ddd_search": "SELECT * FROM lookup WHERE " + " AND ".join(_search_word(w) for w in q.SEARCH_TERM.split()),
     "ddd_search_columns": "SELECT * FROM lookup WHERE " + " AND ".join(
-        f"coalesce(contains(lower({_shown(c)}), {_lit(t.lower())}), false)" for c, t in q.SEARCH_COLUMNS.items()),
+        _column_test(c, t) for c, t in q.SEARCH_COLUMNS.items()),
     "page_of_table": f"""SELECT * FROM lookup ORDER BY atc_code NULLS LAST, ddd NULLS LAST, ddd_uom NULLS LAST,
   ddd_mg NULLS LAST LIMIT {codes.DDD_LOOKUP_PAGE_SIZE} OFFSET {(q.LOOKUP_PAGE - 1) * codes.DDD_LOOKUP_PAGE_SIZE}""",
     "abx_missing_page": "SELECT " + ", ".join(f"{c} AS {_quoted(h)}" for c, h in codes.ABX_MISSING_HEADERS.items())
@@ -303,8 +315,28 @@ _EXTRA = {
 # Report name -> the body whose rows that report holds.
 _REPORT_BODY = {name: name for name in q.rp.REPORT_NAMES}
 _REPORT_BODY.update({"coverage": "coverage_labels", "abx_ddd": "abx_ddd_labels"})
+# Columns of each report, and those that are shares.
+_REPORT_COLUMNS = {
+    "coverage": "label mapping_status n pct pct_label", "group_coverage": "atc_group group_total mapping_status n pct",
+    "group_gap_rate": "atc_group label pct_unmapped total unmapped", "abx_subclass": "j01_class mapping_status n pct total",
+    "abx_subclass_total": "j01_class label total", "abx_level4": "atc_level3_code atc_level4_code j01_class n pct_within_class",
+    "abx_ddd": "j01_class label pct_ddd total with_ddd", "abx_status_long": "label n pct status total",
+    "abx_gap": "label n pct status", "abx_gap_status": "mapping_status n",
+    "summary": "antibiotics label pct_atc pct_bnf total with_atc with_bnf",
+}
+
+
+def _line(columns: str) -> str:
+    parts = []
+    for c in columns.split():
+        x = f"CAST(round({c} * 1000000) AS BIGINT)" if c.startswith("pct") and c != "pct_label" else c
+        parts.append(f"'{c}=' || coalesce(CAST({x} AS VARCHAR), '-')")
+    return " || ';' || ".join(parts)
+
+
 BODIES["write_reports"] = "\nUNION ALL ".join(
-    f"SELECT {_lit(name)} AS report, count(*) AS rows FROM ({BODIES[body]})" for name, body in _REPORT_BODY.items())
+    f"SELECT {_lit(name)} AS report, {_line(_REPORT_COLUMNS[name])} AS line FROM ({BODIES[body]})"
+    for name, body in _REPORT_BODY.items())
 _EXTRA["write_reports"] = _EXTRA["abx_status_long"]
 
 

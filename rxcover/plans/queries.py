@@ -3,15 +3,14 @@
 
 Products come from ``part`` and classification records from ``lineitem``
 through :mod:`rxcover.sources.tpch`, so every query's work grows with those
-tables. Queries about sources and sinks first write the records (XML,
-Parquet, CSV, catalog tables) under the shared scratch folder and then read
-them back; those writes happen once per process and input folder.
+tables. Nothing is kept between calls: every call writes its input (the built
+spine, XML, Parquet, CSV, catalog tables) to a new folder under the shared
+scratch folder and reads that back, so its time includes the build.
 """
 
 from __future__ import annotations
 
-import hashlib
-import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,8 +34,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Parameters of the registered instances of parameterised operators.
 GROUP_PARAMETER = "Anti-Infectives (Systemic)"
+EMPTY_GROUP = "no such group"
 SEARCH_TERM = "amoxiclav ring"
-SEARCH_COLUMNS = {"atc_code": "j01c", "ddd_uom": "g", "ddd_mg": "000"}
+SEARCH_COLUMNS = {"atc_code": "j01c", "ddd_uom": "g", "ddd_mg": (0.004, 25_000.0), "ddd": "2"}
 LOOKUP_PAGE = 2
 ABX_MISSING_PAGE = 2
 CATALOG_DATABASE = "rxcover"
@@ -61,19 +61,14 @@ def spine(spark: SparkSession, sf: str, validate: bool = False, **kw) -> DataFra
 
 
 def spine_table(spark: SparkSession, sf: str) -> DataFrame:
-    """The spine as the build writes it (Parquet under the shared scratch
-    folder, built once per process from the test tables). Reports, the
-    classification queries and the dose explorer read this table, as the
-    report and dashboard read the built spine: their scans prune columns and
-    take pushed filters, and their filters are never inlined back into the
-    build's expressions."""
-    def write(path: str) -> None:
-        writers.write_parquet(spine(spark, sf), path)
-    path = _once(spark, sf, "spine_table", write)
-    held = _handles.get(path)
-    if held is None or held[0] is not spark:
-        held = _handles[path] = (spark, spark.read.parquet(path))
-    return held[1]
+    """The spine as the build writes it. Reports, the classification queries
+    and the dose explorer read this table, as the report job and the dashboard
+    read the built spine: scans prune columns and take pushed filters, and
+    their filters are not inlined into the build's expressions (with which
+    the generated code passes 64 KB)."""
+    path = run_path(spark, "spine")
+    writers.write_parquet(spine(spark, sf), path)
+    return spark.read.parquet(path)
 
 
 def prepared(spark: SparkSession, sf: str, **kw) -> DataFrame:
@@ -88,48 +83,29 @@ def lookup_table(spark: SparkSession, sf: str) -> DataFrame:
     return lk.ddd_lookup(spine_table(spark, sf))
 
 
-def lookup_order():
-    return [F.col(c).asc_nulls_last() for c in lk.LOOKUP_GROUP]
-
 # --------------------------------------------------------------------------
-# written inputs (once per process, scratch folder and input folder)
-
-_written: dict[tuple[str, str], str] = {}
-# Handles of written tables, per session (written once, then only read).
-_handles: dict[str, tuple[SparkSession, DataFrame]] = {}
-_lock = threading.RLock()
-
-
-def _sf_key(sf: str) -> str:
-    s = sf.rstrip("/")
-    return s.rsplit("/", 1)[-1] + "-" + hashlib.sha1(s.encode()).hexdigest()[:8]
+# written inputs (a new folder for every call)
 
-
-def _once(spark: SparkSession, sf: str, name: str, write: Callable[[str], None]) -> str:
-    path = scratch_path(spark, "inputs", _sf_key(sf), name)
-    with _lock:
-        if (path, name) not in _written:
-            write(path)
-            _written[(path, name)] = path
-    return path
+def run_path(spark: SparkSession, name: str) -> str:
+    return scratch_path(spark, "runs", name, unique=True)
 
 
 def xml_product_dir(spark: SparkSession, sf: str) -> str:
-    def write(path: str) -> None:
-        raw = tpch.raw_products(tpch.read_table(spark, sf, "part"))
-        xsrc.write_xml_records(raw, f"{path}/release", "VMP", "VMPS", PRODUCT_TAGS)
-    return _once(spark, sf, "item_24", write)
+    path = run_path(spark, "item_24")
+    raw = tpch.raw_products(tpch.read_table(spark, sf, "part"))
+    xsrc.write_xml_records(raw, f"{path}/release", "VMP", "VMPS", PRODUCT_TAGS)
+    return path
 
 
 def xml_classification_dir(spark: SparkSession, sf: str) -> str:
-    def write(path: str) -> None:
-        raw = tpch.raw_classifications(tpch.read_table(spark, sf, "lineitem").filter(
-            F.col("l_linenumber") != SECOND_TAG_LINE))
-        xsrc.write_xml_records(raw, f"{path}/release", "VMP", "VMPS", CLASSIFICATION_TAGS)
-        raw2 = tpch.raw_classifications(tpch.read_table(spark, sf, "lineitem").filter(
-            F.col("l_linenumber") == SECOND_TAG_LINE))
-        xsrc.write_xml_records(raw2, f"{path}/extra/nested", "REC", "RECS", CLASSIFICATION_TAGS)
-    return _once(spark, sf, "item_25", write)
+    path = run_path(spark, "item_25")
+    lines = tpch.read_table(spark, sf, "lineitem")
+    second = F.col("l_linenumber") == SECOND_TAG_LINE
+    xsrc.write_xml_records(tpch.raw_classifications(lines.filter(~second)), f"{path}/release", "VMP", "VMPS",
+                           CLASSIFICATION_TAGS)
+    xsrc.write_xml_records(tpch.raw_classifications(lines.filter(second)), f"{path}/extra/nested", "REC", "RECS",
+                           CLASSIFICATION_TAGS)
+    return path
 
 
 # --------------------------------------------------------------------------
@@ -158,7 +134,7 @@ def q_strip_namespace(spark, sf):
                                                      strip_namespace(t).alias("tag"))
 
 
-# FIXED VALUES: padding of the trim query, by key modulo 4 (Unicode spaces).
+# Padding of the trim query, by key modulo 4 (Unicode spaces).
 _PADDING = {0: (" ", "  "), 1: ("\t\n", "\r\n"), 2: (" 　", " "), 3: ("\x1c", "\x85")}
 
 
@@ -184,42 +160,56 @@ def q_load_status(spark, sf):
 # --------------------------------------------------------------------------
 # queries: sinks (write, then read back what was written)
 
-def _spine_written(spark, sf, fmt: str) -> str:
-    def write(path: str) -> None:
-        df = spine(spark, sf)
-        if fmt == "parquet":
-            writers.write_parquet(df, path)
-        else:
-            writers.write_csv(df, path)
-    return _once(spark, sf, f"spine_{fmt}", write)
+def q_roundtrip_parquet(spark, sf):
+    path = run_path(spark, "spine_parquet")
+    writers.write_parquet(spine(spark, sf), path)
+    return spark.read.parquet(path)
 
 
-def q_roundtrip_parquet(spark, sf):
-    return spark.read.parquet(_spine_written(spark, sf, "parquet"))
+def csv_rows(spark, sf):
+    """The spine with product names that need quoting."""
+    k = F.ascii(F.substring("vpid", -1, 1)) % 8
+    name = F.col("vmp_nm")
+    odd = (F.when(k == 0, F.concat(F.lit('a "quoted", '), name)).when(k == 1, F.concat(name, F.lit("\nnext line")))
+           .when(k == 2, F.concat(F.lit("  "), name, F.lit(" "))).when(k == 3, F.concat(name, F.lit("\\")))
+           .when(k == 4, F.concat(F.lit('"'), name)).when(k == 5, F.concat(name, F.lit("\r\nx"))).otherwise(name))
+    return spine(spark, sf).withColumn("vmp_nm", odd)
 
 
 def q_roundtrip_csv(spark, sf):
-    schema = spine(spark, sf).schema
-    return writers.read_csv(spark, _spine_written(spark, sf, "csv"), schema)
+    path = run_path(spark, "spine_csv")
+    rows = csv_rows(spark, sf)
+    writers.write_csv(rows, path)
+    return writers.read_csv(spark, path, rows.schema)
 
 
 def q_catalog_tables(spark, sf):
-    def write(path: str) -> None:
-        writers.save_tables(spark, {"vmp": vmp(spark, sf), "bnf": bnf(spark, sf), "spine": spine(spark, sf)},
-                            CATALOG_DATABASE, location=path)
-    _once(spark, sf, "catalog", write)
-    return spark.table(f"`{CATALOG_DATABASE}`.`spine`")
+    database = f"{CATALOG_DATABASE}_{uuid.uuid4().hex}"
+    names = writers.save_tables(
+        spark, {"vmp": vmp(spark, sf), "bnf": bnf(spark, sf), "spine": spine(spark, sf)}, database,
+        location=run_path(spark, "catalog"))
+    return spark.table(names["spine"])
+
+
+def report_lines(df: DataFrame, report: str) -> DataFrame:
+    """Each row of a report as one line of text, columns in order of name;
+    shares in millionths, so that two engines print them alike."""
+    parts = []
+    for c, kind in sorted(df.dtypes):
+        x = F.round(F.col(c) * 1_000_000).cast("bigint") if kind == "double" else F.col(c)
+        parts.append(F.concat(F.lit(f"{c}="), F.coalesce(x.cast("string"), F.lit("-"))))
+    return df.select(F.lit(report).alias("report"), F.concat_ws(";", *parts).alias("line"))
 
 
 def q_write_reports(spark, sf):
-    def write(path: str) -> None:
-        cube = report_cube_table(spark, sf)
-        writers.write_reports(rp.report_bundle(cube, pr.antibiotics(cube)), path)
-    root = _once(spark, sf, "reports", write)
+    root = run_path(spark, "reports")
+    cube = f"{root}/_cube"
+    writers.write_parquet(rp.report_cube(prepared(spark, sf)), cube)
+    rows = spark.read.parquet(cube)
+    writers.write_reports(rp.report_bundle(rows, pr.antibiotics(rows)), root)
     out = None
     for name in rp.REPORT_NAMES:
-        part = spark.read.parquet(f"{root}/{name}").agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(name).alias("report"), "rows")
+        part = report_lines(spark.read.parquet(f"{root}/{name}"), name)
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -337,6 +327,11 @@ def q_group_filter(spark, sf):
     return rp.coverage(prepared(spark, sf), group=GROUP_PARAMETER)
 
 
+def q_group_filter_empty(spark, sf):
+    """A group that no row has: the report is empty, it does not fail."""
+    return rp.coverage_labels(prepared(spark, sf), group=EMPTY_GROUP)
+
+
 def q_group_coverage(spark, sf):
     return rp.group_coverage(prepared(spark, sf))
 
@@ -397,23 +392,15 @@ def q_ddd_lookup_names(spark, sf):
 
 
 def q_ddd_search(spark, sf):
-    return lk.ddd_search(lookup_table(spark, sf), term=SEARCH_TERM)
+    return lk.lookup_search(spine_table(spark, sf), term=SEARCH_TERM)
 
 
 def q_ddd_search_columns(spark, sf):
-    return lk.ddd_search(lookup_table(spark, sf), column_terms=SEARCH_COLUMNS)
+    return lk.lookup_search(spine_table(spark, sf), column_terms=SEARCH_COLUMNS)
 
 
 def q_page_of_table(spark, sf):
-    return lk.page(lookup_table(spark, sf), LOOKUP_PAGE, codes.DDD_LOOKUP_PAGE_SIZE, lookup_order())
-
-
-def report_cube_table(spark: SparkSession, sf: str) -> DataFrame:
-    """The report count cube, written once per process (as the report job
-    writes it)."""
-    def write(path: str) -> None:
-        writers.write_parquet(rp.report_cube(prepared(spark, sf)), path)
-    return spark.read.parquet(_once(spark, sf, "report_cube", write))
+    return lk.lookup_page(spine_table(spark, sf), LOOKUP_PAGE, codes.DDD_LOOKUP_PAGE_SIZE)
 
 
 def q_report_cube(spark, sf):

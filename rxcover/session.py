@@ -58,15 +58,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    """The session's default parallelism (shuffle partitions when there is
-    no local context to ask)."""
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def scratch_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     """A path under the shared scratch folder (``<checkpoint dir>/rxcover``)."""
     tail = list(parts) + ([uuid.uuid4().hex] if unique else [])

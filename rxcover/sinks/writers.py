@@ -14,16 +14,21 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
+# Quotes are doubled inside quoted fields, and nothing is trimmed.
+_CSV = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with a header; ``""`` and null both print as nothing."""
-    (df.write.mode(mode).option("header", True).option("emptyValue", "").option("nullValue", "")
-     .csv(path))
+    """CSV with a header; ``""`` and null both print as nothing. Fields with
+    quotes, commas or line breaks are quoted."""
+    df.write.mode(mode).options(**_CSV).option("emptyValue", "").option("nullValue", "").csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
     """Read a CSV written by :func:`write_csv` with a known schema (no
-    inference pass); empty fields come back as null."""
-    return spark.read.option("header", True).schema(schema).csv(path)
+    inference pass); empty fields come back as null. A field may hold line
+    breaks, so a file is read by one task; the writer makes many files."""
+    return spark.read.options(**_CSV).option("multiLine", True).schema(schema).csv(path)
 
 
 def save_tables(spark: SparkSession, tables: dict[str, DataFrame], database: str,

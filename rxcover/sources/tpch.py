@@ -12,67 +12,24 @@ and add no shuffle.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxcover.session import default_parallelism
 from rxcover.sources.records import classification_records, product_records
 
-# FIXED VALUES: synthetic name prefixes that hit the fallback rules.
+# Synthetic name prefixes that hit the fallback rules.
 _NAME_PREFIXES = {0: "Co-Amoxiclav ", 1: "Co-fluampicil ", 2: "Piperacillin / Tazobactam "}
-# FIXED VALUES: letters used to synthesise ATC codes.
+# Letters used to synthesise ATC codes.
 _J01_LEVEL3_LETTERS = "ABCDEFGMRXZ"
 _J01_LEVEL4_LETTERS = "AEFR"
 _OTHER_GROUP_LETTERS = "ABCDGHJLMNPRSVQ"
-# FIXED VALUES: unit code and unit text by supplier key modulo 9.
+# Unit code and unit text by supplier key modulo 9.
 _UNIT_CODES = {0: "258684004", 1: "258682000", 2: "258685003", 3: "258774008", 4: "396186001"}
 _UNIT_TEXTS = {5: " G ", 6: "kg", 7: "µg", 0: "ignored"}
 
 
-# Local inputs between these sizes are spread over the default parallelism
-# after the scan. A Parquet row group is never split, so a table written as a
-# single row group is read by one task however many cores there are; hashing
-# a few MB across the cores removes that bottleneck. Smaller inputs are
-# cheaper to process in one task than to shuffle (a product table is
-# broadcast whole anyway); inputs on a cluster file system, or larger than
-# the upper bound, already arrive in many splits and are read as they are.
-SPREAD_MIN_BYTES = 4 * 1024 * 1024
-SPREAD_MAX_BYTES = 256 * 1024 * 1024
-
-
-def _local_bytes(files: list[str]) -> int | None:
-    total = 0
-    for f in files:
-        if not f.startswith("file:"):
-            return None
-        path = f[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-        try:
-            total += os.path.getsize(path)
-        except OSError:
-            return None
-    return total
-
-
-# Read-only inputs: one DataFrame handle per session and path (the plan is
-# immutable; every query still runs it in full).
-_handles: dict[str, tuple[SparkSession, DataFrame]] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    held = _handles.get(path)
-    if held is not None and held[0] is spark:
-        return held[1]
-    df = spark.read.parquet(path)
-    size = _local_bytes(df.inputFiles())
-    if size is not None and SPREAD_MIN_BYTES <= size <= SPREAD_MAX_BYTES:
-        df = df.repartition(default_parallelism(spark), df.columns[0])
-    _handles[path] = (spark, df)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _by_mod(key: Column, mod: int, values: dict[int, str], default: Column | str) -> Column:
@@ -104,8 +61,9 @@ def raw_products(part: DataFrame) -> DataFrame:
 
 
 def raw_classifications(lineitem: DataFrame) -> DataFrame:
-    """Raw classification child texts from ``lineitem`` (parts with key
-    divisible by 7 get none, so their products stay unmatched)."""
+    """Raw classification child texts from ``lineitem``, one record a row.
+    Records of parts with a key divisible by 7 get a key that no product
+    has: those products stay unmatched, and the records match nothing."""
     pk, sk, ln = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
     line2 = F.lpad(ln.cast("string"), 2, "0")
     s5, s6 = sk % 5, sk % 6
@@ -118,8 +76,9 @@ def raw_classifications(lineitem: DataFrame) -> DataFrame:
     atc = F.when(s6 == 0, F.lit("")).when((s6 == 1) | (s6 == 2), j01).otherwise(other)
     ddd = (F.when(ln == 1, F.lit("")).when(ln == 2, F.lit("n/a"))
            .otherwise(F.col("l_quantity").cast("int").cast("string")))
-    return lineitem.filter(pk % 7 != 0).select(
-        pk.cast("string").alias("vpid"),
+    vpid = pk.cast("string")
+    return lineitem.select(
+        F.when(pk % 7 == 0, F.concat(F.lit("X"), vpid)).otherwise(vpid).alias("vpid"),
         bnf.alias("bnf_code"),
         atc.alias("atc_code"),
         ddd.alias("ddd"),

@@ -6,6 +6,8 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from rxcover.plans.oracle import oracle_sql
+from rxcover.plans.queries import QUERIES
 from tests.conftest import ORACLE_SF
 from tools.check_oracle import TABLES, digest, type_mismatches
 
@@ -23,13 +25,14 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(oracle_sql()) == set(QUERIES)
+    assert set(QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, ORACLE_SF)
-    rel = con.sql(E.oracle_sql()[name])
+    df = QUERIES[name](spark, ORACLE_SF)
+    rel = con.sql(oracle_sql()[name])
     assert sorted(df.columns) == sorted(rel.columns)
     assert not type_mismatches(dict(df.dtypes), dict(zip(rel.columns, [str(t) for t in rel.types])))
     assert digest(df.columns, [tuple(r) for r in df.collect()]) == digest(rel.columns, rel.fetchall())
