@@ -1,4 +1,4 @@
-"""Command line: ``python -m rxcover build|reports|refresh ...``.
+"""Command line: ``python -m rxcover build|reports ...``.
 
 Uses the active session configuration (``spark-submit`` options or
 ``spark-defaults.conf``); ``--local`` starts a local session instead.
@@ -30,7 +30,7 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--products", required=True, help="folder searched for product XML files")
     b.add_argument("--classifications", required=True, help="folder searched for classification XML files")
     b.add_argument("--out", required=True, help="output folder (shared)")
-    b.add_argument("--row-tag", action="append", dest="row_tags", help="classification record tag (repeatable)")
+    b.add_argument("--row-tag", action="append", dest="row_tags", help="classification record tag (repeatable; default: any element with a key)")
     b.add_argument("--database", help="catalog database for the vmp, bnf and spine tables")
     b.add_argument("--fallback-unit-first", action="store_true")
 
@@ -40,31 +40,18 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--levels", type=int, default=4, choices=(3, 4))
     r.add_argument("--antibiotic", default="any", choices=("any", "atc"))
 
-    f = sub.add_parser("refresh", help="rebuild for each newly announced release, then stop")
-    f.add_argument("--announcements", required=True)
-    f.add_argument("--out", required=True)
-    f.add_argument("--checkpoint")
-    f.add_argument("--row-tag", action="append", dest="row_tags")
-    f.add_argument("--database")
-
     a = p.parse_args(argv)
     spark = _session(a.local)
     if a.cmd == "build":
         from rxcover.build import run_build
 
-        out = run_build(spark, a.products, a.classifications, a.out, row_tags=tuple(a.row_tags or ("VMP",)),
+        out = run_build(spark, a.products, a.classifications, a.out, row_tags=a.row_tags,
                         database=a.database, fallback_unit_first=a.fallback_unit_first)
         print(json.dumps(out.__dict__))
-    elif a.cmd == "reports":
+    else:
         from rxcover.build import run_reports
 
         print(json.dumps(run_reports(spark, a.spine, a.out, levels=a.levels, antibiotic=a.antibiotic)))
-    else:
-        from rxcover.streaming import start_release_refresh
-
-        q = start_release_refresh(spark, a.announcements, a.out, checkpoint=a.checkpoint,
-                                  row_tags=tuple(a.row_tags or ("VMP",)), database=a.database)
-        q.awaitTermination()
     return 0
 
 

@@ -11,13 +11,14 @@ shared by the cluster.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 from rxcover.operators.prepared import antibiotics, prepare
 from rxcover.operators.reports import report_bundle, report_cube
-from rxcover.operators.spine import build_metrics, build_spine
+from rxcover.operators.spine import build_metrics, build_spine, unit_top
 from rxcover.sinks import writers
 from rxcover.sources.xml import read_classifications_xml, read_products_xml
 
@@ -30,37 +31,50 @@ class BuildOutputs:
     spine_csv: str
     tables: dict[str, str] = field(default_factory=dict)
     metrics: dict[str, int] = field(default_factory=dict)
+    units: list[tuple[str, int]] = field(default_factory=list)
+    catalog_error: str | None = None
 
 
 def run_build(spark: SparkSession, products_dir: str, classifications_dir: str, out_dir: str,
-              row_tags=("VMP",), database: str | None = None, fallback_unit_first: bool = False,
+              row_tags=None, database: str | None = None, fallback_unit_first: bool = False,
               sort: bool = True) -> BuildOutputs:
     """Full rebuild from a release folder pair into ``out_dir``.
 
     Raises when a source has no file or no record, when a product key is
-    repeated, or when an XML file is malformed; nothing is replaced then
-    except tables already committed by earlier steps of this run.
+    repeated, or when an XML file is malformed. All tables are written to a
+    run folder below ``out_dir`` and checked there; only then are the outputs
+    replaced, one folder rename each. A failed build leaves every old output
+    as it was. A failure of the catalog is reported in ``catalog_error``; the
+    files are complete then.
     """
     out = out_dir.rstrip("/")
-    paths = BuildOutputs(products=f"{out}/vmp.parquet", classifications=f"{out}/bnf.parquet",
-                         spine=f"{out}/spine.parquet", spine_csv=f"{out}/spine.csv")
-
-    writers.write_parquet(read_products_xml(spark, products_dir), paths.products)
-    writers.write_parquet(read_classifications_xml(spark, classifications_dir, row_tags=row_tags),
-                          paths.classifications)
-    vmp = spark.read.parquet(paths.products)
-    bnf = spark.read.parquet(paths.classifications)
-
-    spine = build_spine(vmp, bnf, validate=True, sort=sort, fallback_unit_first=fallback_unit_first)
-    writers.write_parquet(spine, paths.spine)
-    spine = spark.read.parquet(paths.spine)
-    writers.write_csv(spine, paths.spine_csv)
-
+    run = f"{out}/_run-{uuid.uuid4().hex}"
+    names = {"products": "vmp.parquet", "classifications": "bnf.parquet", "spine": "spine.parquet", "spine_csv": "spine.csv"}
+    staged = {k: f"{run}/{v}" for k, v in names.items()}
+    done = BuildOutputs(**{k: f"{out}/{v}" for k, v in names.items()})
+    try:
+        writers.write_parquet(read_products_xml(spark, products_dir), staged["products"])
+        writers.write_parquet(read_classifications_xml(spark, classifications_dir, row_tags=row_tags),
+                              staged["classifications"])
+        vmp = spark.read.parquet(staged["products"])
+        bnf = spark.read.parquet(staged["classifications"])
+        writers.write_parquet(build_spine(vmp, bnf, validate=True, sort=sort, fallback_unit_first=fallback_unit_first),
+                              staged["spine"])
+        spine = spark.read.parquet(staged["spine"])
+        writers.write_csv(spine, staged["spine_csv"])
+        done.metrics = {r["metric"]: r["value"] for r in build_metrics(vmp, bnf, spine).collect()}
+        done.units = [(r["ddd_uom"], r["n"]) for r in unit_top(bnf).collect()]
+        writers.publish(spark, {staged[k]: getattr(done, k) for k in names})
+    finally:
+        writers.remove(spark, run)
     if database:
-        paths.tables = writers.save_tables(spark, {"vmp": vmp, "bnf": bnf, "spine": spine}, database,
-                                           location=f"{out}/tables")
-    paths.metrics = {r["metric"]: r["value"] for r in build_metrics(vmp, bnf, spine).collect()}
-    return paths
+        try:
+            done.tables = writers.save_tables(
+                spark, {"vmp": spark.read.parquet(done.products), "bnf": spark.read.parquet(done.classifications),
+                        "spine": spark.read.parquet(done.spine)}, database, location=f"{out}/tables")
+        except Exception as e:  # noqa: BLE001  the files are the build's result
+            done.catalog_error = str(e)
+    return done
 
 
 def reports(spine: DataFrame, levels: int = 4, antibiotic: str = "any") -> dict[str, DataFrame]:

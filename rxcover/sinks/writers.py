@@ -31,6 +31,37 @@ def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.options(**_CSV).option("multiLine", True).schema(schema).csv(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def publish(spark: SparkSession, staged: dict[str, str]) -> None:
+    """Replace each target folder by its staged folder: the old one is set
+    aside, the new one renamed into place, then the old one is removed."""
+    for source, target in staged.items():
+        old = f"{target}.old"
+        src, fs = _file_system(spark, source)
+        dst, _ = _file_system(spark, target)
+        aside, _ = _file_system(spark, old)
+        fs.delete(aside, True)
+        had = fs.exists(dst)
+        if had and not fs.rename(dst, aside):
+            raise OSError(f"can't set aside {target}")
+        if not fs.rename(src, dst):
+            if had:
+                fs.rename(aside, dst)
+            raise OSError(f"can't publish {target}")
+        fs.delete(aside, True)
+        spark.catalog.refreshByPath(target)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder this library made."""
+    p, fs = _file_system(spark, path)
+    fs.delete(p, True)
+
+
 def save_tables(spark: SparkSession, tables: dict[str, DataFrame], database: str,
                 location: str | None = None) -> dict[str, str]:
     """Replace catalog tables ``database.<name>`` with the given DataFrames;

@@ -58,11 +58,42 @@ def _first(tag: str):
     return F.try_element_at(F.col(tag), F.lit(1))
 
 
-def _require_files(df: DataFrame, what: str) -> None:
-    if not df.inputFiles():
+def _require_files(spark: SparkSession, path: str, name_glob: str, what: str) -> None:
+    # one file name is enough: the list of files stays on the executors
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", name_glob)
+             .load(path).select("path"))
+    if not files.take(1):
         raise NoRecordsError(f"no {what} XML files found")
 
 
+# A tag name with an optional prefix, and a start tag's rest.
+_NAME = r"(?:[^\s<>/!?:]+:)?[^\s<>/!?:]+"
+_REST = r"(?:\s[^<>]*)?"
+
+
+def key_parents(spark: SparkSession, path: str, name_glob: str, key: str = "VPID") -> list[str]:
+    """Local names of all elements that have a ``key`` child, in order.
+
+    Files are read as text in pieces that end with ``key>`` (so they are split
+    over tasks). What stands in a piece before a key's start tag, without
+    comments, CDATA and closed elements, ends with the open element that holds
+    the key; where nothing is open, the key is a further one of an element
+    already seen. The names are bounded by the schema's vocabulary.
+    """
+    text = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name_glob)
+            .option("lineSep", f"{key}>").text(path))
+    before = F.regexp_replace("value", r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<[?!][^>]*>", "")
+    # cut at the key's own start tag: bare (the piece ends in it) or with attributes or self-closing
+    starts = F.split(before, rf"<(?:[^\s<>/!?:]+:)?(?:{key}(?:\s[^<>]*)?/?>|{key}\s[^<>]*$|$)")
+    heads = text.select(F.explode(F.slice(starts, 1, F.size(starts) - 1)).alias("x"))
+    for _ in range(3):  # self-closing and innermost elements, level by level
+        heads = heads.select(F.regexp_replace(F.regexp_replace("x", rf"<{_NAME}{_REST}/>", ""),
+                                              rf"<({_NAME}){_REST}>[^<>]*</\1\s*>", "").alias("x"))
+    open_ = F.regexp_extract("x", rf"<({_NAME}){_REST}>[^<>]*$", 1)
+    rows = heads.select(F.substring_index(open_, ":", -1).alias("tag")).where("tag <> ''").distinct().orderBy("tag").collect()
+    return [r["tag"] for r in rows]
+
+
 def _has_rows(df: DataFrame) -> bool:
     # take(1) scans partitions incrementally (one first), where isEmpty
     # starts every partition at once; no column is transferred.
@@ -80,22 +111,24 @@ def read_products_xml(spark: SparkSession, path: str, name_glob: str = PRODUCT_F
     """Product records (vpid, vmp_nm, vtmid, vpid_prev) from XML files.
     Every ``row_tag`` element is a record, with ``""`` for absent children."""
     raw = read_xml_records(spark, path, row_tag, PRODUCT_TAGS.values(), name_glob)
-    _require_files(raw, "product")
+    _require_files(spark, path, name_glob, "product")
     out = product_records(raw.select(*[_first(t).alias(c) for c, t in PRODUCT_TAGS.items()]))
     return _require_rows(out, "product", check_rows)
 
 
 def read_classifications_xml(spark: SparkSession, path: str, name_glob: str = CLASSIFICATION_FILES,
-                             row_tags=("VMP",), check_rows: bool = True) -> DataFrame:
+                             row_tags=None, check_rows: bool = True) -> DataFrame:
     """Classification records (vpid, bnf_code, atc_code, ddd, ddd_uom).
 
-    A record is any element among ``row_tags`` whose first ``VPID`` child
-    has text before trimming: ``<VPID/>`` is skipped, ``<VPID> </VPID>``
-    gives the key ``""``. The unit is ``DDD_UOMCD`` if non-empty, else
+    A record is any element whose first ``VPID`` child has text before
+    trimming: ``<VPID/>`` is skipped, ``<VPID> </VPID>`` gives the key ``""``.
+    The elements' names are found in the files (``key_parents``) unless
+    ``row_tags`` lists them. The unit is ``DDD_UOMCD`` if non-empty, else
     ``DDD_UOM``, translated through the unit code table.
     """
+    _require_files(spark, path, name_glob, "classification")
     parts = []
-    for tag in row_tags:
+    for tag in row_tags or key_parents(spark, path, name_glob) or ("VMP",):
         raw = read_xml_records(spark, path, tag, CLASSIFICATION_TAGS.values(), name_glob)
         vpid = _first("VPID")
         parts.append(raw.filter(vpid.isNotNull() & (vpid != ""))
@@ -103,7 +136,6 @@ def read_classifications_xml(spark: SparkSession, path: str, name_glob: str = CL
     raw_all = parts[0]
     for p in parts[1:]:
         raw_all = raw_all.unionByName(p)
-    _require_files(raw_all, "classification")
     # Emptiness is checked tag by tag and stops at the first tag with a
     # record: a scan for a tag that a file lacks reads the whole file.
     if check_rows and not any(_has_rows(p) for p in parts):

@@ -1,14 +1,16 @@
 """End-to-end build and report run on the XML fixture."""
 
+import pytest
 from rxcover.build import run_build, run_reports
+
 from tests import fixtures as fx
 
 
 def test_run_build_and_reports(spark, tmp_path):
     item24, item25 = fx.release(tmp_path)
-    out = run_build(spark, item24, item25, str(tmp_path / "out"), row_tags=("VMP", "REC"),
-                    database="rxcover_build_test")
+    out = run_build(spark, item24, item25, str(tmp_path / "out"), database="rxcover_build_test")
     assert out.metrics == {"vmp_rows": 5, "bnf_rows": 5, "spine_rows": 6, "non_null_atc": 5, "with_atc": 4}
+    assert out.units == [("", 2), ("g", 2), ("mg", 1)] and out.catalog_error is None
     spine = spark.read.parquet(out.spine)
     assert [r["vpid"] for r in spine.collect()] == ["", "111", "222", "333", "444", "444"]
     assert spark.table(out.tables["spine"]).count() == 6
@@ -18,3 +20,31 @@ def test_run_build_and_reports(spark, tmp_path):
     cov = {r["mapping_status"]: r["n"] for r in spark.read.parquet(paths["coverage"]).collect()}
     assert cov == {"ATC + BNF": 2, "ATC only": 2, "BNF only": 1, "Unmapped": 1}
     assert spark.read.parquet(paths["summary"]).first()["total"] == 6
+
+
+def contents(root):
+    return {str(p.relative_to(root)): p.read_bytes() for p in sorted(root.rglob("*")) if p.is_file()}
+
+
+@pytest.mark.parametrize("rel,text", [
+    ("item_24/f_vmp2_2.xml", "<R><VMP><VPID>111</VPID><NM>again</NM></VMP></R>"),          # a repeated key
+    ("item_25/f_bnf1_2.xml", fx.TRUNCATED),                                              # a malformed second file
+])
+def test_failed_build_leaves_the_old_outputs(spark, tmp_path, rel, text):
+    item24, item25 = fx.release(tmp_path)
+    run_build(spark, item24, item25, str(tmp_path / "out"))
+    before = contents(tmp_path / "out")
+    fx.write(tmp_path, rel, text)
+    with pytest.raises(Exception):  # noqa: B017
+        run_build(spark, item24, item25, str(tmp_path / "out"))
+    assert contents(tmp_path / "out") == before
+
+
+def test_rebuild_replaces_and_catalog_failure_is_reported(spark, tmp_path):
+    item24, item25 = fx.release(tmp_path)
+    run_build(spark, item24, item25, str(tmp_path / "out"))
+    fx.write(tmp_path, "item_24/f_vmp2_2.xml", "<R><VMP><VPID>555</VPID><NM>new</NM></VMP></R>")
+    out = run_build(spark, item24, item25, str(tmp_path / "out"), database="no/such`name")
+    assert out.catalog_error and not out.tables
+    assert spark.read.parquet(out.spine).count() == 7
+    assert not [p for p in (tmp_path / "out").iterdir() if p.name.startswith("_run") or p.name.endswith(".old")]

@@ -30,6 +30,17 @@ def test_csv_prints_empty_and_null_as_nothing(spark, tmp_path):
     assert back == [("1", None, 1.5), ("2", None, None), ("3", "J01", 2.0)]
 
 
+def test_csv_keeps_every_text(spark, tmp_path):
+    names = ['say "x", y', "two\nlines", "crlf\r\nend", "  pad ", "back\\", '"', "a,b", "\ttab\t", "é\u3000"]
+    df = spark.createDataFrame([(n, str(i), float(i)) for i, n in enumerate(names)], SCHEMA)
+    p = str(tmp_path / "odd.csv")
+    writers.write_csv(df, p)
+    got = sorted((r["atc_code"], r["vpid"]) for r in writers.read_csv(spark, p, SCHEMA).collect())
+    assert [n for _, n in got] == names
+    text = "".join(open(f, newline="").read() for f in (tmp_path / "odd.csv").glob("part-*"))
+    assert '"say ""x"", y"' in text
+
+
 def test_catalog_tables_replace(spark, tmp_path):
     loc = str(tmp_path / "db")
     names = writers.save_tables(spark, {"spine": frame(spark)}, "rxcover_test", location=loc)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import PySparkException
 from py4j.protocol import Py4JJavaError
 
-from rxcover.sources.xml import NoRecordsError, read_classifications_xml, read_products_xml
+from rxcover.sources.xml import NoRecordsError, key_parents, read_classifications_xml, read_products_xml
 from tests import fixtures as fx
 
 
@@ -40,9 +40,25 @@ def test_classifications_two_tags(spark, tmp_path):
     ]
 
 
-def test_classifications_default_tag(spark, tmp_path):
+def test_classifications_of_any_element(spark, tmp_path):
     _, item25 = fx.release(tmp_path)
-    assert read_classifications_xml(spark, item25).count() == 4
+    assert read_classifications_xml(spark, item25).count() == 5
+    assert read_classifications_xml(spark, item25, row_tags=("VMP",)).count() == 4
+
+
+def test_key_parents(spark, tmp_path):
+    fx.write(tmp_path, "k/f_bnf1.xml", """<?xml version="1.0"?><R xmlns:p="urn:p">
+      <A><ATC>x</ATC><N a="1"/><VPID>1</VPID></A><!-- <C><VPID>9</VPID></C> --><p:B id="2"><p:VPID>2</p:VPID></p:B>
+      <D><VPID/></D><E><VPID k="1">3</VPID><VPID>4</VPID><F><G><VPID>5</VPID></G></F></E><VPIDPREV>7</VPIDPREV></R>""")
+    assert key_parents(spark, str(tmp_path / "k"), "f_bnf*.xml") == ["A", "B", "D", "E", "G"]
+
+
+def test_large_file_is_searched_in_parts(spark, tmp_path):
+    body = "".join(f"<{'REC' if i == 55_000 else 'VMP'}><VPID>{i}</VPID><ATC>A{i}</ATC></{'REC' if i == 55_000 else 'VMP'}>\n"
+                   for i in range(60_000))
+    fx.write(tmp_path, "l/f_bnf1.xml", f"<ROOT>{body}</ROOT>")
+    assert key_parents(spark, str(tmp_path / "l"), "f_bnf*.xml") == ["REC", "VMP"]
+    assert read_classifications_xml(spark, str(tmp_path / "l")).count() == 60_000
 
 
 def test_namespaced_records_are_read(spark, tmp_path):
