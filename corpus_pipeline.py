@@ -40,9 +40,8 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of every document, and whether they decode to its text."""
-    out = sentencepiece.encode(spark, docs.select("doc_id", "lang", "source", "text"))
-    return out.select("doc_id", "lang", "source", "pieces", F.size("pieces").cast("long").alias("n_pieces"),
-                      F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+    out = sentencepiece.encode(docs, ["doc_id", "lang", "source"])
+    return out.withColumn("n_pieces", F.size("pieces").cast("long"))
 
 
 STAGES: list[tuple[str, Stage]] = [

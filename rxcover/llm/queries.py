@@ -24,7 +24,7 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentencepiece.summary(spark, read(spark, sf_dir, "documents"))
+    return sentencepiece.summary(read(spark, sf_dir, "documents"))
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,8 +28,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rxcover.llm.common import mix64
 
@@ -37,7 +39,9 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT, SEED = 0.1, 2024
 SPACE = "▁"
 #: Cuts up to this length advance in matrices; characters handled at a time.
-LONG, BLOCK = 40, 1 << 20
+LONG, BLOCK = 40, 1 << 19
+#: Rows whose pieces a task holds at a time.
+ROWS = 512
 NONE = np.int32(2 ** 31 - 1)
 _M = (1 << 64) - 1
 _C = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
@@ -315,20 +319,40 @@ class Vocabulary:
 
 
 # --------------------------------------------------------------------------
-# Spark columns
-
-def encoder(vocabulary: Vocabulary, dropout: float = DROPOUT, seed: int = SEED):
-    """A column function of (text, long key) giving ``array<int>``."""
-    @F.pandas_udf("array<int>")
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for texts, keys in batches:
-            known = [i for i, t in enumerate(texts) if t is not None]
-            found = vocabulary.encode([texts.iloc[i] for i in known], [int(keys.iloc[i]) for i in known], dropout, seed)
-            out = [None] * len(texts)
-            for i, ids in zip(known, found):
-                out[i] = ids
-            yield pd.Series(out, dtype=object)
-    return run
+# Spark jobs
+
+def encode(docs: DataFrame, carry: list[str], path: str = MODEL, dropout: float = DROPOUT, seed: int = SEED,
+           text: str = "text", key: Column | None = None) -> DataFrame:
+    """The columns ``carry`` of ``docs``, the ``pieces`` of the text, and
+    whether they decode to it (``lossless``). A task holds the pieces of few
+    rows at a time, whatever Spark's batch size."""
+    vocabulary = Vocabulary.load(path)
+    key = F.xxhash64(F.col("doc_id").cast("string")) if key is None else key
+    given = docs.select(*carry, key.alias("__key"), F.col(text).alias("__text"))
+    schema = T.StructType([*docs.select(*carry).schema.fields, T.StructField("pieces", T.ArrayType(T.IntegerType())),
+                           T.StructField("lossless", T.BooleanType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(start, ROWS)
+                texts = batch.column("__text").to_pylist()
+                keys = batch.column("__key").to_pylist()
+                known = [i for i, t in enumerate(texts) if t is not None]
+                found = vocabulary.encode([texts[i] for i in known], [keys[i] for i in known], dropout, seed)
+                right = [True] * len(texts)
+                sizes = np.zeros(len(texts), np.int64)
+                for i, ids in zip(known, found):
+                    right[i] = vocabulary.decode(ids.tolist()) == texts[i]
+                    sizes[i] = len(ids)
+                ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+                pieces = pa.ListArray.from_arrays(
+                    pa.array(ends), pa.array(np.concatenate(found) if found else np.zeros(0, np.int32), pa.int32()),
+                    mask=pa.array([t is None for t in texts]))
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carry), pieces, pa.array(right, pa.bool_())],
+                                                 names=[*carry, "pieces", "lossless"])
+
+    return given.mapInArrow(run, schema)
 
 
 def decoder(vocabulary: Vocabulary):
@@ -340,19 +364,9 @@ def decoder(vocabulary: Vocabulary):
     return run
 
 
-def encode(spark: SparkSession, docs: DataFrame, path: str = MODEL, dropout: float = DROPOUT, seed: int = SEED,
-           text: str = "text", key: Column | None = None) -> DataFrame:
-    """``docs`` with ``pieces`` and the text ``decoded`` from them."""
-    v = Vocabulary.load(path)
-    key = F.xxhash64(F.col("doc_id").cast("string")) if key is None else key
-    out = docs.withColumn("pieces", encoder(v, dropout, seed)(F.col(text), key))
-    return out.withColumn("decoded", decoder(v)(F.col("pieces")))
-
-
-def summary(spark: SparkSession, docs: DataFrame, **kw) -> DataFrame:
+def summary(docs: DataFrame, **kw) -> DataFrame:
     """``doc_id, n_chars, n_pieces, pieces_hash, lossless`` per document."""
-    out = encode(spark, docs.select("doc_id", "text"), **kw)
-    return out.select("doc_id", F.length("text").cast("long").alias("n_chars"),
-                      F.when(F.col("pieces").isNotNull(), F.size("pieces")).cast("long").alias("n_pieces"),
-                      F.when(F.col("pieces").isNotNull(), F.xxhash64("pieces")).alias("pieces_hash"),
-                      F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+    sized = docs.select("doc_id", F.length("text").cast("long").alias("n_chars"), "text")
+    out = encode(sized, ["doc_id", "n_chars"], **kw)
+    return out.select("doc_id", "n_chars", F.when(F.col("pieces").isNotNull(), F.size("pieces")).cast("long").alias("n_pieces"),
+                      F.when(F.col("pieces").isNotNull(), F.xxhash64("pieces")).alias("pieces_hash"), "lossless")

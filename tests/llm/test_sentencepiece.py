@@ -70,8 +70,11 @@ def test_varied_by_key_and_settled_by_seed():
 
 def test_query_rows(spark, make_docs):
     rows = [(1, "a b"), (2, None), (3, ""), (4, "▁é\n" * 3), (5, "word " * 40000), (1, "a b"), (None, "x"), (7, "\u0000")]
-    got = sp.summary(spark, make_docs(rows, extra=("pieces", "decoded"))).collect()
+    got = sp.summary(make_docs(rows, extra=("pieces", "decoded"))).collect()
     assert len(got) == len(rows) and all(r.lossless for r in got)
     by = {r.doc_id: r for r in got}
     assert by[2].n_pieces is None and by[3].n_pieces == 0 and by[5].n_chars == 200000
-    assert sp.summary(spark, make_docs([])).count() == 0
+    assert sp.summary(make_docs([])).count() == 0
+    pieces = sp.encode(make_docs(rows, extra=("pieces_", "lossless_")), ["doc_id", "pieces_"])
+    texts = pieces.select("doc_id", sp.decoder(sp.Vocabulary.load())("pieces").alias("t")).collect()
+    assert sorted([tuple(r) for r in texts], key=repr) == sorted(rows, key=repr)
