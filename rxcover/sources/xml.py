@@ -1,18 +1,19 @@
 """XML record files -> product and classification records.
 
-Spark's XML source does the parsing: files are found at any depth under a
-root (``recursiveFileLookup``) and kept by file-name glob
-(``pathGlobFilter``); each element named ``rowTag`` is one record and its
-namespace is ignored. Children are read as ``array<string>`` so that the
-*first* of repeated children can be taken (a plain string field keeps the
-last). The source streams each file (memory per task stays bounded) but does
-not split a file: read parallelism is the number of files (measured: 8
-files read with 1 MB splits still give 8 tasks). Releases written as many
-files read in parallel; a single very large file is one task.
-
-A malformed file fails the read (``FAILFAST``), as an uncaught parse error
-would. Empty input raises :class:`NoRecordsError`: no matching file, or
-files without records.
+Files are found at any depth under a root (``recursiveFileLookup``), kept by
+file-name glob (``pathGlobFilter``) and read as text in pieces that end with a
+record's end tag, so one large file is split over tasks like any text. Each
+piece's record is parsed by ``from_xml``; children are read as
+``array<string>`` so that the *first* of repeated children can be taken (a
+plain string field keeps the last). Namespaces are ignored; the spellings of
+the end tag (with and without prefix) are looked up first.
+
+Malformed input fails: a record that does not parse (``FAILFAST``), and a file
+whose record start and end tags do not pair up (one that is cut short, has
+records of one name inside each other, or a record tag inside a comment or
+CDATA section). Markup outside records is not checked. Empty input raises
+:class:`NoRecordsError`: no matching file, or files without records. Files
+must be UTF-8.
 """
 
 from __future__ import annotations
@@ -36,22 +37,75 @@ class NoRecordsError(RuntimeError):
     """A source matched no file or produced no record."""
 
 
+class MalformedXmlError(ValueError):
+    """A file's record tags do not pair up."""
+
+
 def _schema(tags) -> T.StructType:
     return T.StructType([T.StructField(t, T.ArrayType(T.StringType()), True) for t in tags])
 
 
+# A tag name with an optional prefix, and a start tag's rest.
+_NAME = r"(?:[^\s<>/!?:]+:)?[^\s<>/!?:]+"
+_REST = r"(?:\s[^<>]*)?"
+_HIDDEN = r"(?s)<!--.*?-->"
+
+
+def _text(spark: SparkSession, path: str, name_glob: str, end: str) -> DataFrame:
+    return (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name_glob)
+            .option("lineSep", end).text(path))
+
+
+def prefixes(spark: SparkSession, path: str, row_tag: str, name_glob: str) -> list[str]:
+    """The prefixes (``""`` or ``"p:"``) that the record's tags are written
+    with; bounded by the namespaces of the schema."""
+    ends = _text(spark, path, name_glob, f"{row_tag}>").select(
+        F.regexp_extract("value", r"</?((?:[^\s<>/!?:]+:)?)$", 1).alias("p"),
+        F.col("value").rlike(r"</?(?:[^\s<>/!?:]+:)?$").alias("tag"))
+    return [r["p"] for r in ends.where("tag").select("p").distinct().orderBy("p").collect()]
+
+
+def _pieces(spark: SparkSession, path: str, tag: str, name_glob: str) -> DataFrame:
+    """Pieces of text up to each end tag: the file, the record that starts in
+    the piece (null if none), the number of start tags and the self-closing
+    records before it."""
+    start = rf"<{tag}(?:\s[^<>]*)?>"
+    closed = rf"<{tag}(?:\s[^<>]*)?/>"
+    seen = _text(spark, path, name_glob, f"</{tag}>").select(
+        F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", _HIDDEN, "").alias("x"))
+    seen = seen.select("file", F.regexp_count("x", F.lit(closed)).alias("empty"), F.regexp_replace("x", closed, "").alias("x"))
+    return seen.select("file", "empty", F.regexp_count("x", F.lit(start)).alias("starts"),
+                       F.regexp_extract("x", rf"(?s)({start}.*)$", 1).alias("record"))
+
+
 def read_xml_records(spark: SparkSession, path: str, row_tag: str, tags, name_glob: str) -> DataFrame:
     """Raw records: one row per ``row_tag`` element, one ``array<string>``
     column per child tag (null when the child is absent)."""
-    return (spark.read.format("xml")
-            .schema(_schema(tags))
-            .option("rowTag", row_tag)
-            .option("ignoreNamespace", True)
-            .option("ignoreSurroundingSpaces", False)
-            .option("mode", "FAILFAST")
-            .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", name_glob)
-            .load(path))
+    out = None
+    for prefix in prefixes(spark, path, row_tag, name_glob) or [""]:
+        tag = prefix + row_tag
+        pieces = _pieces(spark, path, tag, name_glob)
+        # every piece but a file's last ends with an end tag
+        odd = pieces.groupBy("file").agg(F.sum("starts").alias("starts"), F.count(F.lit(1)).alias("n"))
+        bad = odd.where("starts <> n - 1").take(1)
+        if bad:
+            raise MalformedXmlError(f"start and end tags of {tag} do not pair up in {bad[0]['file']}")
+        record = F.concat("record", F.lit(f"</{tag}>"))
+        used = F.array_except(F.array_distinct(F.concat(
+            F.regexp_extract_all("record", F.lit(r"</?([A-Za-z_][\w.-]*):"), F.lit(1)),
+            F.regexp_extract_all("record", F.lit(r"\s([A-Za-z_][\w.-]*):[\w.-]+\s*="), F.lit(1)))),
+            F.array(F.lit("xml"), F.lit("xmlns")))
+        names = F.array_join(F.transform(used, lambda p: F.concat(F.lit(" xmlns:"), p, F.lit('="urn:'), p, F.lit('"'))), "")
+        # null without a record, wherever the optimiser evaluates it
+        whole = F.when(F.col("record") != "", F.concat(F.lit("<w"), names, F.lit(">"), record, F.lit("</w>")))
+        schema = T.StructType([T.StructField(row_tag, _schema(tags))])
+        parsed = F.from_xml(whole, schema, {"ignoreNamespace": "true", "ignoreSurroundingSpaces": "false", "mode": "FAILFAST"})
+        full = pieces.where("record <> ''").select(parsed[row_tag].alias("r")).select(*[F.col("r")[t].alias(t) for t in tags])
+        none = pieces.where("empty > 0").select(F.explode(F.array_repeat(F.lit(None).cast("string"), F.col("empty"))).alias("r")).select(
+            *[F.lit(None).cast("array<string>").alias(t) for t in tags])
+        both = full.unionByName(none)
+        out = both if out is None else out.unionByName(both)
+    return out
 
 
 def _first(tag: str):
@@ -66,11 +120,6 @@ def _require_files(spark: SparkSession, path: str, name_glob: str, what: str) ->
         raise NoRecordsError(f"no {what} XML files found")
 
 
-# A tag name with an optional prefix, and a start tag's rest.
-_NAME = r"(?:[^\s<>/!?:]+:)?[^\s<>/!?:]+"
-_REST = r"(?:\s[^<>]*)?"
-
-
 def key_parents(spark: SparkSession, path: str, name_glob: str, key: str = "VPID") -> list[str]:
     """Local names of all elements that have a ``key`` child, in order.
 
@@ -80,8 +129,7 @@ def key_parents(spark: SparkSession, path: str, name_glob: str, key: str = "VPID
     the key; where nothing is open, the key is a further one of an element
     already seen. The names are bounded by the schema's vocabulary.
     """
-    text = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name_glob)
-            .option("lineSep", f"{key}>").text(path))
+    text = _text(spark, path, name_glob, f"{key}>")
     before = F.regexp_replace("value", r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<[?!][^>]*>", "")
     # cut at the key's own start tag: bare (the piece ends in it) or with attributes or self-closing
     starts = F.split(before, rf"<(?:[^\s<>/!?:]+:)?(?:{key}(?:\s[^<>]*)?/?>|{key}\s[^<>]*$|$)")
@@ -110,8 +158,8 @@ def read_products_xml(spark: SparkSession, path: str, name_glob: str = PRODUCT_F
                       row_tag: str = "VMP", check_rows: bool = True) -> DataFrame:
     """Product records (vpid, vmp_nm, vtmid, vpid_prev) from XML files.
     Every ``row_tag`` element is a record, with ``""`` for absent children."""
-    raw = read_xml_records(spark, path, row_tag, PRODUCT_TAGS.values(), name_glob)
     _require_files(spark, path, name_glob, "product")
+    raw = read_xml_records(spark, path, row_tag, PRODUCT_TAGS.values(), name_glob)
     out = product_records(raw.select(*[_first(t).alias(c) for c, t in PRODUCT_TAGS.items()]))
     return _require_rows(out, "product", check_rows)
 

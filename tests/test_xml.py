@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import PySparkException
 from py4j.protocol import Py4JJavaError
 
-from rxcover.sources.xml import NoRecordsError, key_parents, read_classifications_xml, read_products_xml
+from rxcover.sources.xml import MalformedXmlError, NoRecordsError, key_parents, read_xml_records, read_classifications_xml, read_products_xml
 from tests import fixtures as fx
 
 
@@ -93,5 +93,39 @@ def test_file_without_records_raises(spark, tmp_path):
 
 def test_malformed_file_fails(spark, tmp_path):
     fx.write(tmp_path, "t/f_vmp2_t.xml", fx.TRUNCATED)
-    with pytest.raises((PySparkException, Py4JJavaError, NoRecordsError)):
+    with pytest.raises((PySparkException, Py4JJavaError, MalformedXmlError)):
         read_products_xml(spark, str(tmp_path / "t")).collect()
+
+
+def test_large_file_is_read_in_parts(spark, tmp_path):
+    body = "".join(f"<VMP><VPID>{i}</VPID><NM>name {i}</NM></VMP>\n" for i in range(60_000))
+    fx.write(tmp_path, "p/f_vmp2_1.xml", f"<ROOT>{body}</ROOT>")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512k")
+    try:
+        df = read_xml_records(spark, str(tmp_path / "p"), "VMP", ["VPID", "NM"], "f_vmp2*.xml")
+        assert df.rdd.getNumPartitions() > 3
+        got = df.selectExpr("count(*)", "count(distinct VPID[0])", "sum(cast(VPID[0] as long))").first()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert tuple(got) == (60_000, 60_000, sum(range(60_000)))
+
+
+def test_markup_of_records(spark, tmp_path):
+    fx.write(tmp_path, "m/f_vmp2_1.xml", """<?xml version="1.0"?><!-- x --><R xmlns:q="urn:q"><VMP a="1"><VPID><![CDATA[1 < 2]]></VPID>
+      <!-- in a record --><NM>A &amp; B</NM><q:VTMID q:k="v">7</q:VTMID></VMP><VMP/><VMP b="x"/><VMP><VPID>3</VPID><VPID>4</VPID></VMP
+      ></R>""".replace("</VMP\n      >", "</VMP>"))
+    got = rows(read_products_xml(spark, str(tmp_path / "m")), "vpid", "vmp_nm", "vtmid")
+    assert got == [("", "", ""), ("", "", ""), ("1 < 2", "A & B", "7"), ("3", "", "")]
+
+
+@pytest.mark.parametrize("text", [
+    "<R><VMP><VPID>1</VPID></VMP><VMP><VPID>2</VPID>",                    # cut after a child
+    "<R><VMP><VPID>1</NM></VMP></R>",                                    # crossed tags
+    "<R><VMP><VPID>1</VPID><VMP><VPID>2</VPID></VMP></VMP></R>",          # records inside each other
+    "<R><VMP><VPID>1</VPID></VMP ></R>",                                 # an end tag that is not found
+])
+def test_bad_records_fail(spark, tmp_path, text):
+    fx.write(tmp_path, "bad/f_vmp2_1.xml", text)
+    with pytest.raises((PySparkException, Py4JJavaError, MalformedXmlError, NoRecordsError)):
+        read_products_xml(spark, str(tmp_path / "bad")).collect()
