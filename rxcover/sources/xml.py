@@ -75,23 +75,31 @@ def key_parents(spark: SparkSession, path: str, name_glob: str, key: str = "VPID
     """Local names of all elements that have a ``key`` child, in order.
 
     Files are read as text in pieces that end with ``key>`` (so they are split
-    over tasks). What stands in a piece before a key's start tag, without
-    comments, CDATA and closed elements, ends with the open element that holds
-    the key; where nothing is open, the key is a further one of an element
-    already seen. The names are bounded by the schema's vocabulary.
+    over tasks). Where a key's start tag directly follows a start tag, that is
+    the parent. Otherwise what stands before it, without comments, CDATA and
+    closed elements, ends with the open element that holds the key; where
+    nothing is open, the key is a further one of an element already seen. The
+    names are bounded by the schema's vocabulary.
     """
     text = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name_glob)
             .option("lineSep", f"{key}>").text(path))
-    before = F.regexp_replace("value", r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<[?!][^>]*>", "")
-    # cut at the key's own start tag: bare (the piece ends in it) or with attributes or self-closing
-    starts = F.split(before, rf"<(?:[^\s<>/!?:]+:)?(?:{key}(?:\s[^<>]*)?/?>|{key}\s[^<>]*$|$)")
-    heads = text.select(F.explode(F.slice(starts, 1, F.size(starts) - 1)).alias("x"))
-    for _ in range(3):  # self-closing and innermost elements, level by level
-        heads = heads.select(F.regexp_replace(F.regexp_replace("x", rf"<{_NAME}{_REST}/>", ""),
-                                              rf"<({_NAME}){_REST}>[^<>]*</\1\s*>", "").alias("x"))
-    open_ = F.regexp_extract("x", rf"<({_NAME}){_REST}>[^<>]*$", 1)
-    rows = heads.select(F.substring_index(open_, ":", -1).alias("tag")).where("tag <> ''").distinct().orderBy("tag").collect()
-    return [r["tag"] for r in rows]
+    plain = F.regexp_extract("value", rf"<({_NAME})(?:\s[^<>]*[^<>/])?>\s*<(?:[^\s<>/!?:]+:)?$", 1)
+    odd = (F.contains("value", F.lit("<!")) | F.col("value").rlike(rf"<(?:[^\s<>/!?:]+:)?{key}[\s/]")
+           | (F.col("value").rlike(r"<(?:[^\s<>/!?:]+:)?$") & (plain == "")))
+    local = lambda c: F.substring_index(c, ":", -1)
+    first = text.select(F.when(odd, "").otherwise(local(plain)).alias("tag"), odd.alias("odd")).distinct().collect()
+    tags = {r["tag"] for r in first}
+    if any(r["odd"] for r in first):
+        before = F.regexp_replace("value", r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<[?!][^>]*>", "")
+        # cut at the key's own start tag: bare (the piece ends in it) or with attributes or self-closing
+        starts = F.split(before, rf"<(?:[^\s<>/!?:]+:)?(?:{key}(?:\s[^<>]*)?/?>|{key}\s[^<>]*$|$)")
+        heads = text.where(odd).select(F.explode(F.slice(starts, 1, F.size(starts) - 1)).alias("x"))
+        for _ in range(3):  # self-closing and innermost elements, level by level
+            heads = heads.select(F.regexp_replace(F.regexp_replace("x", rf"<{_NAME}{_REST}/>", ""),
+                                                  rf"<({_NAME}){_REST}>[^<>]*</\1\s*>", "").alias("x"))
+        open_ = F.regexp_extract("x", rf"<({_NAME}){_REST}>[^<>]*$", 1)
+        tags |= {r["tag"] for r in heads.select(local(open_).alias("tag")).distinct().collect()}
+    return sorted(tags - {""})
 
 
 def _has_rows(df: DataFrame) -> bool:
