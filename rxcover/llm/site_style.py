@@ -27,6 +27,7 @@ columns are not read.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from html import unescape
@@ -248,30 +249,46 @@ def host_of(url):
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
+PAGE, STYLE, TEXT = 0, 1, 2
+_KIND = {"page": PAGE, "style": STYLE, "text": TEXT}
+
+
+def _hash(*parts: str) -> int:
+    joined = "\0".join(parts).encode("utf-8", "surrogatepass")
+    return int.from_bytes(hashlib.blake2b(joined, digest_size=8).digest(), "little", signed=True)
+
+
 def importance(pages: DataFrame) -> DataFrame:
     """``host, path, pages, importance, share`` of every element node;
-    ``share`` is its importance relative to the host's root."""
+    ``share`` is its importance relative to the host's root. Nodes and items
+    are counted by hash; a node's names come once with its page counts."""
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = []
+            rows, keys = [], {}
             for host, html in zip(pdf["host"], pdf["html"]):
-                if html:
-                    rows += [(host, *x) for x in observe(html)]
-            yield pd.DataFrame(rows, columns=["host", "path", "kind", "item"])
+                for path, kind, item in observe(html) if html else ():
+                    node = (host, path)
+                    key = keys.get(node)
+                    if key is None:
+                        key = keys[node] = _hash(host, path)
+                    own = kind == "page"
+                    rows.append((key, _KIND[kind], 0 if own else _hash(item), host if own else "", path if own else ""))
+            yield pd.DataFrame(rows, columns=["node", "kind", "item", "host", "path"])
 
     seen = pages.select(host_of(F.col("url")).alias("host"), "html").mapInPandas(
-        emit, "host string, path string, kind string, item string")
-    counts = seen.select("host", "path", "kind", F.when(F.col("kind") == "page", 0).otherwise(
-        F.xxhash64("item")).alias("item")).groupBy("host", "path", "kind", "item").agg(F.count(F.lit(1)).alias("n"))
+        emit, "node long, kind tinyint, item long, host string, path string")
+    counts = seen.groupBy("node", "kind", "item", "host", "path").agg(F.count(F.lit(1)).alias("n"))
     # per element: pages, sum of n log n over styles, and of log n over texts
     n = F.col("n").cast("double")
     kind = lambda k, v: F.sum(F.when(F.col("kind") == k, v))
-    nodes = counts.groupBy("host", "path").agg(
-        kind("page", n).alias("pages"), kind("style", n).alias("uses"), kind("style", F.lit(1)).alias("styles"),
-        kind("style", n * F.log(n)).alias("use_logs"), kind("text", F.log(n)).alias("text_logs"),
-        kind("text", F.lit(1)).alias("texts"))
-    # a text feature also counts for every element above it
+    named = lambda c: F.first(F.when(F.col("kind") == PAGE, F.col(c)), True).alias(c)
+    nodes = counts.groupBy("node").agg(
+        named("host"), named("path"), kind(PAGE, n).alias("pages"), kind(STYLE, n).alias("uses"),
+        kind(STYLE, F.lit(1)).alias("styles"), kind(STYLE, n * F.log(n)).alias("use_logs"),
+        kind(TEXT, F.log(n)).alias("text_logs"), kind(TEXT, F.lit(1)).alias("texts"))
+    nodes = stored(nodes.drop("node"), "style-nodes")
     parts = F.split("path", "/")
+    # a text feature also counts for every element above it
     above = nodes.where("texts > 0").select("host", F.explode(F.transform(
         F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), "/"))).alias("path"),
         "text_logs", "texts").groupBy("host", "path").agg(F.sum("text_logs").alias("all_logs"), F.sum("texts").alias("all_texts"))
