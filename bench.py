@@ -2,7 +2,7 @@
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
-Each query is planned and run once as warm-up, then five times (BENCH_RUNS);
+Each query is planned and run once as warm-up, then three times (BENCH_RUNS);
 the result is forced with a ``noop`` write, so the whole plan runs without
 collecting to the driver. No input is kept between runs: a report's time holds
 the build of its spine, an XML query's the writing of its files. ``run_build``
@@ -33,7 +33,7 @@ HEADLINE = (
     "run_build",
     "run_reports",
 )
-RUNS = int(os.environ.get("BENCH_RUNS", "5"))
+RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
 
 def bench_release(spark, sf_dir: str, q) -> tuple[str, str]:
