@@ -6,6 +6,8 @@ an e-mail's local part that no pattern accepts. Chain edges join neighbours;
 skip edges join consecutive units, however far apart, whose digits or local
 parts are equal, or similar (same last seven digits). Loopy sum-product messages carry labels along both, so a repeat that is
 written differently gets the label of the occurrence that a pattern accepts.
+Skip edges act only where a base span is among the units they connect: free
+units alone give each other no label, however often they repeat.
 
 Potentials: a unit's label prior by digit count, and the chain's label
 affinities, are piecewise estimates from counts over all documents; the
@@ -32,7 +34,9 @@ from pyspark.sql import functions as F
 from rxcover.llm.common import stored
 
 KINDS = ("email", "ip", "card", "phone")
-SKIP_SAME, SKIP_SIMILAR, NO_PATTERN = 6.0, 3.0, -4.0
+#: One similar edge to a base span outweighs NO_PATTERN with the least prior
+#: (-4 - 3); one same edge also two averse chain neighbours (-1 each).
+SKIP_SAME, SKIP_SIMILAR, NO_PATTERN = 10.0, 8.0, -4.0
 CHAIN_GAP = 40
 MAX_STEPS, DAMPING, SETTLED = 30, 0.3, 1e-4
 LEAST_DIGITS, LEAST_NAME = 7, 5
@@ -154,6 +158,17 @@ def edges(nodes: list[tuple]) -> list[tuple[int, int, int]]:
     return out
 
 
+def anchored(nodes: list[tuple], link: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """``link`` without the skip edges among units that skip edges connect to
+    no base span. A unit has one skip edge to an earlier unit at most."""
+    root = list(range(len(nodes)))
+    for i, j, sort in link:
+        if sort:
+            root[j] = root[i]
+    held = {r for r, u in zip(root, nodes) if u[2]}
+    return [x for x in link if not x[2] or root[x[1]] in held]
+
+
 def infer(nodes: list[tuple], prior: np.ndarray, chain: np.ndarray) -> np.ndarray:
     """The label of every node, 0 for none, by loopy sum-product messages."""
     n, k = len(nodes), len(KINDS) + 1
@@ -162,7 +177,7 @@ def infer(nodes: list[tuple], prior: np.ndarray, chain: np.ndarray) -> np.ndarra
     unary[np.arange(n)[label > 0], label[label > 0]] = 0.0
     free = np.flatnonzero(label == 0)
     unary[free] = prior[[nodes[i][5] for i in free]]
-    link = edges(nodes)
+    link = anchored(nodes, edges(nodes))
     if not link:
         return unary.argmax(axis=1)
     same, similar = np.zeros((k, k)), np.zeros((k, k))

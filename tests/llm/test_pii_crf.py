@@ -79,3 +79,30 @@ def test_messages_match_enumeration():
         for i, y in enumerate(ys):
             marg[i, y] += np.exp(s)
     assert (pc.infer(nodes, prior, chain) == marg.argmax(axis=1)).all()
+
+
+def test_similar_repeat_of_a_base_span_only(spark, make_docs):
+    rows = [(1, "call +44 20 7946 0958 now. " + "word " * 50 + "again 020 7946 0958 please"),
+            (2, "order 1234567 and " + "word " * 50 + "1234567, " + "word " * 50 + "1234567 or " + "word " * 50 + "1234567"),
+            (3, " ".join("word " * 20 + f"{k}98 7654321" for k in range(40))),
+            (4, "again 020 7946 0958. " + "word " * 50 + "020-7946-0958 or " + "word " * 50 + "+44 20 7946 0958")]
+    by = {r.doc_id: r.spans for r in pc.find_pii(make_docs(rows)).collect()}
+    cut = lambda i: [rows[i - 1][1][int(s.split(":")[1]):int(s.split(":")[2])] for s in by[i].split(",")]
+    assert cut(1) == ["+44 20 7946 0958", "020 7946 0958"]
+    assert by[2] == by[3] == ""
+    assert cut(4) == ["020 7946 0958", "020-7946-0958", "+44 20 7946 0958"]
+
+
+def test_weights_hold_at_the_least_prior():
+    """Against the least prior a base span lifts its repeats; free units alone,
+    beside averse or friendly neighbours, lift nothing at the best prior."""
+    import numpy as np
+    prior = np.full((20, 5), pc.NO_PATTERN - 3.0)
+    prior[:, 0] = 0.0
+    repeats = [(100 * i, 100 * i + 12, 4 * (i == 0), i % 3, 77, 11) for i in range(30)]
+    assert (pc.infer(repeats, prior, np.zeros((5, 5))) == 4).all()
+    prior[:, 4] = pc.NO_PATTERN
+    chain = np.zeros((5, 5))
+    chain[4, 4] = 1.0
+    free = [(20 * i, 20 * i + 12, 0, 5, 77, 11) for i in range(200)]
+    assert (pc.infer(free, prior, chain) == 0).all()
