@@ -10,8 +10,8 @@ children, repeats merged). Over all pages of the host,
 * both are weighted by ``gamma ** styles``: an element that looks alike on
   every page is judged by its content.
 
-Branches far less important than their host's body are removed from every
-page, as are branches that the markup itself names as no article text (menus,
+Branches seen on two pages or more and far less important than their host's
+body (smoothed towards it by one page) are removed from every page, as are branches that the markup itself names as no article text (menus,
 page headers and footers, side bars, notices, adverts, forms, comments,
 hidden parts). On a page with an ``article`` or ``main`` element, the text is
 looked for inside. Statistics are map-side aggregated counts; no page and no
@@ -43,8 +43,9 @@ GAMMA = 0.9
 CONTRAST = 0.5
 #: A host's pages are dealt over so many tasks.
 SALTS = 64
-#: Hosts with fewer pages than this have too few styles to compare.
-LEAST_PAGES = 8
+#: An element's importance counts with so many pages of its host's body added:
+#: the fewer pages show it, the clearer its own must be.
+SMOOTH = 1
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp".split())
@@ -66,7 +67,9 @@ NOISE_WORDS = frozenset(
     "overlay newsletter subscribe subscription signup login share sharing social related recommended comment comments "
     "disqus replies respond widget toolbar pagination pager skip".split())
 NEVER_BY_NAME = frozenset("html body article main h1 h2 h3 h4 h5 h6".split())
-#: Elements that hold running text; never removed for low importance.
+#: Elements that hold running text; removed for low importance only where a
+#: class or id sets them apart from the article's others.
+KEPT_TAGS = frozenset("html body article main".split())
 TEXT_TAGS = NEVER_BY_NAME | frozenset("p pre blockquote b i em strong".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -199,7 +202,7 @@ def extract(html: str | None, low: frozenset[str] = frozenset()) -> str:
             node = node.up
         bad = verdict[id(node)] if node is not None else False
         for x in reversed(chain):
-            bad = bad or (x.tag not in TEXT_TAGS and x.path in low)
+            bad = bad or (x.tag not in (TEXT_TAGS if x.key == x.tag else KEPT_TAGS) and x.path in low)
             verdict[id(x)] = bad
         return bad
 
@@ -260,7 +263,7 @@ def _hash(*parts: str) -> int:
 
 def importance(pages: DataFrame) -> DataFrame:
     """``host, path, pages, importance, share`` of every element node;
-    ``share`` is its importance relative to the host's root. Nodes and items
+    ``share`` is its content importance relative to the host's root. Nodes and items
     are counted by hash; a node's names come once with its page counts."""
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -300,13 +303,14 @@ def importance(pages: DataFrame) -> DataFrame:
     scored = nodes.join(above, ["host", "path"]).select(
         "host", "path", "pages", ((1 - weight) * look + weight * body).alias("importance"), body.alias("content"))
     root = scored.where("path = '#'").select("host", F.col("content").alias("whole"), F.col("pages").alias("host_pages"))
-    return scored.join(root, "host").select("host", "path", "pages", "importance", "content", "host_pages",
-                                            (F.col("content") / F.greatest(F.col("whole"), F.lit(1e-9))).alias("share"))
+    smooth = lambda c: (F.col(c) * size + F.col("whole") * SMOOTH) / (size + SMOOTH)
+    return scored.join(root, "host").select("host", "path", "pages", smooth("importance").alias("importance"), "content", "host_pages",
+                                            (smooth("content") / F.greatest(F.col("whole"), F.lit(1e-9))).alias("share"))
 
 
-def low_paths(pages: DataFrame, least_pages: int = LEAST_PAGES, contrast: float = CONTRAST) -> DataFrame:
+def low_paths(pages: DataFrame, contrast: float = CONTRAST) -> DataFrame:
     """``host, low``: the paths to remove on each host that has any."""
-    bad = importance(pages).where((F.col("pages") >= least_pages) & (F.col("share") < contrast)
+    bad = importance(pages).where((F.col("pages") > 1) & (F.col("share") < contrast)
                                   & (F.col("importance") < contrast))
     return bad.groupBy("host").agg(F.array_sort(F.collect_set("path")).alias("low"))
 

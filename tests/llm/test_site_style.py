@@ -65,3 +65,25 @@ def test_given_pages_match_article_paragraphs(spark):
         body = re.sub(r"<[a-z/][^<>]*$", "", body)
         plain = " ".join(unescape(re.sub(r"</?(?:p|h1|br)[^<>]*>", " ", body).replace("<b>", "").replace("</b>", "")).split())
         assert got[r.page_id] == plain, r.page_id
+
+
+def own(i, n=40):
+    return " ".join(f"w{i}x{k}" for k in range(n))
+
+
+@pytest.mark.parametrize("n", [2, 3, 5, 7])
+def test_small_hosts_are_judged(spark, n):
+    rows = [(i, f"https://small{n}.example/{i}", f"<body><div><p>{own(i)}</p><div class=lead>{own(i + 90)}</div></div>"
+             "<section><span>Read our offer</span><a>Go on</a></section></body>", "", "") for i in range(n)]
+    got = ss.extract_pages(spark.createDataFrame(rows + [(99, "https://one.example/", rows[0][2], "", "")], SCHEMA)).collect()
+    assert {r.page_id: r.text for r in got} == {i: f"{own(i)} {own(i + 90)}" for i in range(n)} | {99: f"{own(0)} {own(90)} Read our offerGo on"}
+
+
+def test_box_on_few_pages_and_boilerplate_paragraph(spark):
+    """A box on two of 30 pages goes, as does a paragraph of its own class
+    that all pages repeat; varied paragraphs with a class stay."""
+    rows = [(i, f"https://big.example/{i}", f"<body><article><h1>T{i}</h1><p class=lead>{own(i)}</p><p>{own(i + 50)}</p>"
+             + ("<div class=extra>Only today<br>Buy it</div>" if i in (4, 17) else "")
+             + "<p class=legal>No advice is given.</p></article></body>", "", "") for i in range(30)]
+    got = ss.extract_pages(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.page_id: r.text for r in got} == {i: f"T{i} {own(i)} {own(i + 50)}" for i in range(30)}
