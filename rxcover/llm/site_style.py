@@ -20,7 +20,9 @@ alike, has no contrast and nothing is removed by importance.
 
 Defined results: a null html is empty; broken, cut and unclosed markup is
 read as far as it goes (an unfinished tag at the end is dropped); a page
-whose every branch would be removed keeps the text outside named noise; a null
+whose every branch would be removed keeps the text outside named noise, or all
+its text if there is none; a class or id that names noise is evidence only
+(``judge_names``); a null
 or unreadable url has the empty host; repeated rows give repeated rows; other
 columns are not read.
 """
@@ -66,7 +68,8 @@ NOISE_WORDS = frozenset(
     "navbar navigation breadcrumb breadcrumbs footer masthead cookie cookies consent gdpr notice alert popup modal "
     "overlay newsletter subscribe subscription signup login share sharing social related recommended comment comments "
     "disqus replies respond widget toolbar pagination pager skip".split())
-NEVER_BY_NAME = frozenset("html body article main h1 h2 h3 h4 h5 h6".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+NEVER_BY_NAME = HEADINGS | frozenset("html body article main".split())
 #: Elements that hold running text; removed for low importance only where a
 #: class or id sets them apart from the article's others.
 KEPT_TAGS = frozenset("html body article main".split())
@@ -78,11 +81,19 @@ _ATTR = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+
 _WORD = re.compile(r"[a-z]+")
 
 
+#: How a class or id names an element: not, as one word among others, at the
+#: start of every name, or by noise words alone.
+UNNAMED, PARTLY, LEADING, WHOLLY = range(4)
+
+
 class Node:
-    __slots__ = ("tag", "key", "up", "noise", "main", "kids", "_path")
+    """``own`` and ``noise`` say whether the element itself, or also one above
+    it, is marked as no article text; ``word`` how its class and id name it."""
+    __slots__ = ("tag", "key", "up", "own", "noise", "word", "main", "kids", "_path")
 
-    def __init__(self, tag: str, key: str, up: Node | None, noise: bool, main: bool):
-        self.tag, self.key, self.up, self.noise, self.main, self.kids, self._path = tag, key, up, noise, main, [], None
+    def __init__(self, tag: str, key: str, up: Node | None, own: bool, word: int, main: bool):
+        self.tag, self.key, self.up, self.own, self.word, self.main, self.kids, self._path = tag, key, up, own, word, main, [], None
+        self.noise = own or up is not None and up.noise
 
     @property
     def path(self) -> str:
@@ -91,28 +102,34 @@ class Node:
         return self._path
 
 
-def _named(tag: str, attrs: str, up: Node) -> tuple[str, bool]:
-    """The element's key in the style tree, and whether its markup names it
-    as something else than article text."""
+def _named(tag: str, attrs: str, up: Node) -> tuple[str, bool, int]:
+    """The element's key in the style tree, whether its tag, role or being
+    hidden marks it as something else than article text, and how far the words
+    of its class and id name it so."""
     noise = tag in NOISE_TAGS or tag == "header" and not up.main
     if not attrs or attrs.isspace() or attrs == "/":
-        return tag, noise
+        return tag, noise, UNNAMED
     found = {}
     for m in _ATTR.finditer(attrs):
         found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
-    words = _WORD.findall(f"{found.get('class', '')} {found.get('id', '')}".lower())
+    names = f"{found.get('class', '')} {found.get('id', '')}".lower()
+    words = _WORD.findall(names)
+    word = UNNAMED
     if tag not in NEVER_BY_NAME or tag == "article":
-        noise = noise or not NOISE_WORDS.isdisjoint(words) or "header" in words and not up.main and tag != "article"
+        bad = NOISE_WORDS | {"header"} if not up.main and tag != "article" else NOISE_WORDS
+        if not bad.isdisjoint(words):
+            lists = [w for w in map(_WORD.findall, names.split()) if w]
+            word = WHOLLY if bad.issuperset(words) else LEADING if all(w[0] in bad for w in lists) else PARTLY
     style = found.get("style", "").replace(" ", "").lower()
     noise = (noise or found.get("role", "").lower() in NOISE_ROLES or "hidden" in found and tag not in ("html", "body")
              or found.get("aria-hidden", "").lower() == "true" or "display:none" in style)
-    return (f"{tag}.{'.'.join(sorted(set(words)))}" if words else tag), noise
+    return (f"{tag}.{'.'.join(sorted(set(words)))}" if words else tag), noise, word
 
 
 def parse(html: str) -> list[tuple[Node, str | None]]:
     """Runs of text in page order as (element, text); (element, None) is a
     block boundary. Every element is reachable from the nodes."""
-    root = Node("", "", None, False, False)
+    root = Node("", "", None, False, UNNAMED, False)
     root.key = "#"
     node, out, at, n = root, [], 0, len(html)
     search = _TOKEN.search
@@ -142,8 +159,8 @@ def parse(html: str) -> list[tuple[Node, str | None]]:
         if tag not in INLINE:
             node = _implied(node, root, tag)
             out.append((node, None))
-        key, noise = _named(tag, m[3], node)
-        new = Node(tag, key, node, noise or node.noise, node.main or (tag in ("article", "main") and not noise))
+        key, noise, word = _named(tag, m[3], node)
+        new = Node(tag, key, node, noise, word, node.main or (tag in ("article", "main") and not noise))
         node.kids.append(new)
         if tag in VOID or m[3].endswith("/") and tag in ("svg", "path", "use"):
             continue
@@ -184,6 +201,66 @@ def _implied(node: Node, root: Node, tag: str) -> Node:
     return node
 
 
+def judge_names(runs: list[tuple[Node, str | None]]) -> None:
+    """Settles ``noise`` and ``main`` where classes or ids name elements. A
+    name is evidence only. Of branches that no named one encloses, one is kept
+    if it holds most of the page's text, or if it holds the article, main or
+    h1 and nothing outside named branches does; but not where noise words are
+    its whole name and other text than headings stands outside, or where they
+    begin its name and the article stands outside or it holds less than most. What a kept branch encloses is
+    judged anew."""
+    if not runs:
+        return
+    root = runs[0][0]
+    while root.up is not None:
+        root = root.up
+    nodes = [root]
+    for x in nodes:  # parents before children
+        nodes.extend(x.kids)
+    if not any(x.word for x in nodes):
+        return
+    size = dict.fromkeys(nodes, 0)
+    for x, t in runs:
+        if t is not None and not x.noise:
+            size[x] += len("".join(t.split()))
+    beside: dict[Node, int] = {}  # an element's own text, 0 at and below headings
+    head: dict[Node, bool] = {}
+    for x in nodes:
+        head[x] = x.tag in HEADINGS or x.up is not None and head[x.up]
+        beside[x] = 0 if head[x] else size[x]
+    # what an unnamed article or main (2) or h1 (1) at or below an element gives
+    holds = {x: 0 if x.noise or x.word else 2 if x.tag in ("article", "main") else int(x.tag == "h1") for x in nodes}
+    for x in reversed(nodes[1:]):
+        size[x.up] += size[x]
+        holds[x.up] = max(holds[x.up], holds[x])
+    kept: set[Node] = set()
+    while True:
+        inside: dict[Node, bool] = {}
+        outer, free, plain = [], 0, 0
+        for x in nodes:
+            named = x.word and x not in kept
+            below = x.up is not None and inside[x.up]
+            inside[x] = bool(named or below)
+            if named and not below and not x.noise:
+                outer.append(x)
+            if not inside[x] and not x.noise:
+                free = max(free, 2 if x.tag in ("article", "main") else int(x.tag == "h1"))
+                plain += beside[x]
+        more = []
+        for x in outer:
+            most = 2 * size[x] > size[root]
+            others = plain and (x.word == WHOLLY or x.word == LEADING and free == 2 and not x.main)
+            if most and not others or holds[x] > free and (most or x.word == PARTLY or not plain):
+                more.append(x)
+        if not more:
+            break
+        kept.update(more)
+    for x in nodes[1:]:
+        own = x.own or x.word > 0 and x not in kept
+        x.noise = own or x.up.noise
+        x.main = x.up.main or x.tag in ("article", "main") and not own
+
+
 def _text(value: str) -> str:
     return unescape(value) if "&" in value else value
 
@@ -193,6 +270,7 @@ def extract(html: str | None, low: frozenset[str] = frozenset()) -> str:
     if not html:
         return ""
     runs = parse(html)
+    judge_names(runs)
     verdict: dict[int, bool] = {}
 
     def removed(node: Node) -> bool:
@@ -210,7 +288,7 @@ def extract(html: str | None, low: frozenset[str] = frozenset()) -> str:
     inside = [(x, t) for x, t in named if t is None or x.main]
     best = inside if any(t and not t.isspace() for _, t in inside) else named
     text = _joined((x, t) for x, t in best if t is None or not low or not removed(x))
-    return text or _joined(best)
+    return text or _joined(best) or _joined(runs)
 
 
 def _joined(runs) -> str:

@@ -87,3 +87,29 @@ def test_box_on_few_pages_and_boilerplate_paragraph(spark):
              + "<p class=legal>No advice is given.</p></article></body>", "", "") for i in range(30)]
     got = ss.extract_pages(spark.createDataFrame(rows, SCHEMA)).collect()
     assert {r.page_id: r.text for r in got} == {i: f"T{i} {own(i)} {own(i + 50)}" for i in range(30)}
+
+
+LONG = "This is the text of the page, and it goes on for a while."
+
+
+@pytest.mark.parametrize("name", ["content has-sidebar", "no-sidebar", "post with-comments", "article-share-wrap", "related-topic"])
+@pytest.mark.parametrize("body", ["<article><h1>T</h1><p>{0}</p></article>", "<h1>T</h1><p>{0}</p>", "<main><header><h1>T</h1></header>{0}</main>"])
+def test_name_around_the_text_is_evidence_only(name, body):
+    inner = f"<div class={name!r}>{body.format(LONG)}<div class='sidebar'>s</div><div class=ad>a</div></div>"
+    assert ss.extract(f"<body><nav>n</nav>{inner}</body>") == f"T {LONG}"
+    assert ss.extract(f"<body><nav>n</nav><div class=top><p>x</p></div>{inner}</body>").endswith(f"T {LONG}")
+    assert ss.extract(f"<div class='page-header'><div id='with-menu'>{inner}</div></div>") == f"T {LONG}"
+
+
+@pytest.mark.parametrize("html,text", [
+    (f"<article class='post with-comments'><header><h1>T</h1></header><p>{LONG}</p></article>", f"T {LONG}"),
+    (f"<article><div class='article-share-wrap'><p>{LONG}</p></div><div class=share>Share</div></article>", LONG),
+    (f"<h1>T</h1><div class=notice>{LONG}</div>", f"T {LONG}"),
+    (f"<h1><a href=x>T</a></h1><div class=notice>{LONG}</div>", f"T {LONG}"),
+    (f"<h1>T</h1><p>short</p><div class=comments>{LONG}</div>", "T short"),
+    (f"<div><h1>T</h1><p>{LONG}</p></div><div class=comments-area><article>c</article></div>", f"T {LONG}"),
+    (f"<article><p>a</p></article><div class='related-items'><article>{LONG}</article></div>", "a"),
+    ("<div class=menu>m</div><div hidden>h</div>", "m"), ("<form>f</form>", "f"), ("<body style='display:none'><p>x</p></body>", "x"),
+])
+def test_names_and_what_is_left(html, text):
+    assert ss.extract(html) == text
