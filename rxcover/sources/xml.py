@@ -94,10 +94,13 @@ def key_parents(spark: SparkSession, path: str, name_glob: str, key: str = "VPID
         # cut at the key's own start tag: bare (the piece ends in it) or with attributes or self-closing
         starts = F.split(before, rf"<(?:[^\s<>/!?:]+:)?(?:{key}(?:\s[^<>]*)?/?>|{key}\s[^<>]*$|$)")
         heads = text.where(odd).select(F.explode(F.slice(starts, 1, F.size(starts) - 1)).alias("x"))
-        for _ in range(3):  # self-closing and innermost elements, level by level
-            heads = heads.select(F.regexp_replace(F.regexp_replace("x", rf"<{_NAME}{_REST}/>", ""),
-                                                  rf"<({_NAME}){_REST}>[^<>]*</\1\s*>", "").alias("x"))
-        open_ = F.regexp_extract("x", rf"<({_NAME}){_REST}>[^<>]*$", 1)
+        # the open elements, outermost first; an end tag ends the last one, at any depth
+        opened = F.aggregate(
+            F.regexp_extract_all("x", F.lit(rf"(</?{_NAME}{_REST}/?>)"), 1), F.array().cast("array<string>"),
+            lambda up, t: F.when(F.endswith(t, F.lit("/>")), up)
+            .when(F.startswith(t, F.lit("</")), F.slice(up, 1, F.greatest(F.size(up) - 1, F.lit(0))))
+            .otherwise(F.concat(up, F.array(F.regexp_extract(t, rf"<({_NAME})", 1)))))
+        open_ = F.coalesce(F.try_element_at(opened, F.lit(-1)), F.lit(""))
         tags |= {r["tag"] for r in heads.select(local(open_).alias("tag")).distinct().collect()}
     return sorted(tags - {""})
 

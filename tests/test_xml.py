@@ -53,6 +53,14 @@ def test_key_parents(spark, tmp_path):
     assert key_parents(spark, str(tmp_path / "k"), "f_bnf*.xml") == ["A", "B", "D", "E", "G"]
 
 
+def test_key_after_deeply_nested_siblings(spark, tmp_path):
+    deep = "".join(f"<L{i}>" for i in range(9)) + "x" + "".join(f"</L{i}>" for i in reversed(range(9)))
+    fx.write(tmp_path, "d/f_bnf1.xml", f"<R><A><B><C><D><E>x</E><F/></D></C></B><VPID>1</VPID><ATC>a</ATC></A>"
+             f"<p:Q xmlns:p='urn:p'><p:H k='1'>{deep}{deep}</p:H><p:VPID k='2'>2</p:VPID></p:Q></R>")
+    assert key_parents(spark, str(tmp_path / "d"), "f_bnf*.xml") == ["A", "Q"]
+    assert rows(read_classifications_xml(spark, str(tmp_path / "d")), "vpid", "atc_code") == [("1", "a"), ("2", "")]
+
+
 def test_large_file_is_searched_in_parts(spark, tmp_path):
     body = "".join(f"<{'REC' if i == 55_000 else 'VMP'}><VPID>{i}</VPID><ATC>A{i}</ATC></{'REC' if i == 55_000 else 'VMP'}>\n"
                    for i in range(60_000))
