@@ -3,9 +3,10 @@ softmax trained by stochastic gradient descent, and calibrated rejection.
 
 A text is lower-cased; its subwords are the byte 3-grams and 4-grams of its
 words with their boundaries, hashed to a fixed number of buckets. Training
-reads a bounded, documented sample of labelled rows (``sample_rows`` rows by
-hash of the id, ``sample_ngrams`` subwords from anywhere in each text) and
-runs on the driver on those numbers alone; prediction reads every whole text,
+reads a bounded, documented sample of labelled rows (``SAMPLE_ROWS`` rows by
+least hash of the id and ``LABEL_ROWS`` rows of each label by the same, so that
+every label is learned; ``SAMPLE_NGRAMS`` subwords from anywhere in each text)
+and runs on the driver on those numbers alone; prediction reads every whole text,
 in pieces of bounded size. At prediction embeddings and softmax collapse into
 one table of bucket by language.
 
@@ -21,15 +22,20 @@ text is ``und``; copies and ties change nothing; other columns are not read.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rxcover.llm.common import stored
+
 SAMPLE_ROWS = 4000
+#: Each label has so many rows in the sample, or all that it has.
+LABEL_ROWS = 200
 SAMPLE_NGRAMS = 512
 LOG2_BUCKETS = 16
 DIMENSION = 16
@@ -105,17 +111,24 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def sample(docs: DataFrame, learn: Column, rows: int, ngrams: int) -> list:
-    """At most ``rows`` labelled rows, those with the least hash of the id,
-    each as its label and at most ``ngrams`` subwords."""
+def sample(docs: DataFrame, learn: Column, rows: int, ngrams: int, label_rows: int = LABEL_ROWS) -> list:
+    """The ``rows`` labelled rows with the least hash of the id, and of every
+    label the ``label_rows`` with the least, each as its label and at most
+    ``ngrams`` subwords."""
     keyed = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
         F.xxhash64(F.col("doc_id").cast("string")).alias("h"), "lang", "text")
-    n = keyed.select("h").count()
-    if not n:
+    # only texts with a letter are learned from
+    counts = {r["lang"]: r["count"] for r in keyed.where(F.col("text").rlike(r"\p{L}")).groupBy("lang").count().collect()}
+    if not counts:
         return []
-    share = min(1.0, 1.5 * rows / n + 100 / n)
-    bound = int(-(2 ** 63) + share * (2 ** 64 - 1))
-    keyed = keyed.where(F.col("h") <= F.lit(min(bound, 2 ** 63 - 1)))
+
+    def bound(want: int, n: int) -> int:
+        share = min(1.0, 1.5 * want / n + 100 / n)
+        return min(int(-(2 ** 63) + share * (2 ** 64 - 1)), 2 ** 63 - 1)
+
+    least = bound(rows, sum(counts.values()))
+    of = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, max(least, bound(label_rows, n)))])
+    keyed = keyed.where(F.col("h") <= F.coalesce(F.try_element_at(of, F.col("lang")), F.lit(least)))
 
     def bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -128,7 +141,14 @@ def sample(docs: DataFrame, learn: Column, rows: int, ngrams: int) -> list:
                     out.append((h, lang, np.sort(g).tobytes()))
             yield pd.DataFrame(out, columns=["h", "lang", "bag"])
 
-    return keyed.mapInPandas(bags, "h long, lang string, bag binary").orderBy("h", "lang", "bag").limit(rows).collect()
+    found = stored(keyed.mapInPandas(bags, "h long, lang string, bag binary"), "langid-sample")
+    first = found.orderBy("h", "lang", "bag").limit(rows).collect()
+    held = Counter(r["lang"] for r in first)
+    each = found.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "bag"))).where(
+        F.col("k") <= label_rows).collect()
+    # a label's rows in ``first`` are its first ones in the same order
+    first += [r for r in each if r["k"] > held[r["lang"]]]
+    return sorted(first, key=lambda r: (r["h"], r["lang"], bytes(r["bag"])))
 
 
 def fit(rows: list, epochs: int = EPOCHS, dimension: int = DIMENSION, seed: int = 7) -> Model:
@@ -142,8 +162,9 @@ def fit(rows: list, epochs: int = EPOCHS, dimension: int = DIMENSION, seed: int
     bags = [np.unique(np.frombuffer(bytes(r["bag"]), np.uint16), return_counts=True) for r in rows]
     y = np.array([languages.index(r["lang"]) for r in rows])
     use = [i for i, b in enumerate(bags) if len(b[0])]
-    held = [i for i in use if i % 5 == 4]
-    train = [i for i in use if i % 5 != 4]
+    learned = {y[i] for i in use if i % 5 != 4}
+    held = [i for i in use if i % 5 == 4 and y[i] in learned]
+    train = [i for i in use if i % 5 != 4 or y[i] not in learned]
     rng = np.random.default_rng(seed)
     e = rng.uniform(-1 / dimension, 1 / dimension, (size, dimension)).astype(np.float32)
     w, b = np.zeros((dimension, len(languages)), np.float32), np.zeros(len(languages), np.float32)

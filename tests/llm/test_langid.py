@@ -52,3 +52,26 @@ def test_edges(spark, make_docs):
     assert langid.identify(make_docs([])).count() == 0
     kept = langid.keep_identified(make_docs(rows, extra=("__x",)))
     assert kept.columns[-1] == "__x" and kept.where(F.col("doc_id").isin(100, 101, 102)).count() == 0
+
+
+def test_rare_labels_are_learned(spark, make_docs):
+    """Labels that the rows of least hash lack are learned and not rejected."""
+    rows = [(i, ("the house and the garden ", "das haus und der garten ")[i % 2] * 3, ("en", "de")[i % 2]) for i in range(12000)]
+    rows += [(20000 + i, "το σπίτι και ο κήπος " * 3, "el") for i in range(12)]
+    rows += [(30000 + i, "дом и большой сад " * 3, "ru") for i in range(12)]
+    docs = make_docs(rows)
+    model = langid.train(docs, F.lit(True), rows=40)
+    assert model.languages == ["de", "el", "en", "ru"]
+    for text, lang in {r[1]: r[2] for r in rows}.items():
+        pred, _, rejected = model.predict(text)
+        assert pred == lang and not rejected
+    assert {r["lang"] for r in langid.sample(docs, F.lit(True), 40, 512, 0)} == {"en", "de"}
+    got = langid.sample(docs, F.lit(True), 40, 512, 5)
+    assert len(got) == 50 and [r["h"] for r in got] == sorted(r["h"] for r in got)
+
+
+def test_label_of_one_row_is_not_held_back():
+    bag = lambda t: np.sort(np.concatenate([langid.subwords(p) for p in langid.pieces(t)])).tobytes()
+    rows = [{"lang": "ru" if i == 4 else "en", "bag": bag("дом сад" if i == 4 else "the house")} for i in range(20)]
+    model = langid.fit(rows)
+    assert model.seen[np.frombuffer(rows[4]["bag"], np.uint16)].all()
