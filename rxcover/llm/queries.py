@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rxcover.llm import exact_dedup as xd
-from rxcover.llm import decontam, langid, licenses, ngram_join, pii_crf, sentencepiece, site_style, suffix_dedup, warc
+from rxcover.llm import (decontam, langid, licenses, ngram_join, packing, periodic_runs, pii_crf, sentencepiece, site_style,
+                         suffix_dedup, vector_codes, warc)
 from rxcover.llm.common import read
 from rxcover.session import scratch_path
 
@@ -55,6 +56,19 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return periodic_runs.periodic_runs(docs, rewrite=periodic_runs.planted, texts=False)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(read(spark, sf_dir, "embeddings"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 OP6_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(length(text), 0) AS n,
@@ -102,10 +116,14 @@ QUERIES: dict[str, Query] = {
     "op8_site_style": op8_site_style,
     "op9_pii_crf": op9_pii_crf,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_packing": op13_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_license_scan": licenses.SQL,
     "op6_exact_dedup": OP6_SQL,
     "op7_ngram_join": OP7_SQL,
+    "op12_vector_codes": vector_codes.sql(),
 }

@@ -11,7 +11,7 @@ from tools.check_oracle import digest, type_mismatches
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{ORACLE_SF}/{t}.parquet')")
     df = QUERIES[name](spark, ORACLE_SF)
     rel = con.sql(ORACLE_SQL[name])
@@ -21,4 +21,4 @@ def test_query_matches_sql(spark, name):
 
 def test_names():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
