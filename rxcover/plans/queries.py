@@ -116,8 +116,7 @@ def q_xml_vmp_records(spark, sf):
 
 
 def q_xml_bnf_records(spark, sf):
-    return xsrc.read_classifications_xml(spark, xml_classification_dir(spark, sf), name_glob="part-*",
-                                         row_tags=("VMP", "REC"))
+    return xsrc.read_classifications_xml(spark, xml_classification_dir(spark, sf), name_glob="part-*")
 
 
 def _tag_text():

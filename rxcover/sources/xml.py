@@ -1,32 +1,31 @@
 """XML record files -> product and classification records.
 
-Spark's XML source does the parsing: files are found at any depth under a
-root (``recursiveFileLookup``) and kept by file-name glob
-(``pathGlobFilter``); each element named ``rowTag`` is one record and its
-namespace is ignored. Children are read as ``array<string>`` so that the
-*first* of repeated children can be taken (a plain string field keeps the
-last). The source streams each file (memory per task stays bounded) but does
-not split a file: read parallelism is the number of files (measured: 8
-files read with 1 MB splits still give 8 tasks). Releases written as many
-files read in parallel; a single very large file is one task.
-
-A malformed file fails the read (``FAILFAST``), as an uncaught parse error
-would. Empty input raises :class:`NoRecordsError`: no matching file, or
-files without records.
+Files are found at any depth under a root (``recursiveFileLookup``) and kept
+by file-name glob (``pathGlobFilter``). They are read block by block
+(:mod:`rxcover.sources.xml_blocks`): a large file by many tasks, every file
+once, records of all element names together and nested at any depth. Of a
+repeated child the first counts, of its text what stands before its first
+inner element; namespaces are ignored.
+
+A malformed file fails the read, as an uncaught parse error would. Empty input
+raises :class:`NoRecordsError`: no matching file, or files without records.
+The parsed records are written to the shared scratch folder, or to ``scratch``
+if given, and read from there.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from rxcover.session import scratch_path
 from rxcover.sources.records import (
     CLASSIFICATION_TAGS,
     PRODUCT_TAGS,
     classification_records,
     product_records,
 )
+from rxcover.sources.xml_blocks import xml_records
 
 PRODUCT_FILES = "f_vmp2*.xml"
 CLASSIFICATION_FILES = "f_bnf*.xml"
@@ -36,28 +35,6 @@ class NoRecordsError(RuntimeError):
     """A source matched no file or produced no record."""
 
 
-def _schema(tags) -> T.StructType:
-    return T.StructType([T.StructField(t, T.ArrayType(T.StringType()), True) for t in tags])
-
-
-def read_xml_records(spark: SparkSession, path: str, row_tag: str, tags, name_glob: str) -> DataFrame:
-    """Raw records: one row per ``row_tag`` element, one ``array<string>``
-    column per child tag (null when the child is absent)."""
-    return (spark.read.format("xml")
-            .schema(_schema(tags))
-            .option("rowTag", row_tag)
-            .option("ignoreNamespace", True)
-            .option("ignoreSurroundingSpaces", False)
-            .option("mode", "FAILFAST")
-            .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", name_glob)
-            .load(path))
-
-
-def _first(tag: str):
-    return F.try_element_at(F.col(tag), F.lit(1))
-
-
 def _require_files(spark: SparkSession, path: str, name_glob: str, what: str) -> None:
     # one file name is enough: the list of files stays on the executors
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", name_glob)
@@ -66,92 +43,40 @@ def _require_files(spark: SparkSession, path: str, name_glob: str, what: str) ->
         raise NoRecordsError(f"no {what} XML files found")
 
 
-# A tag name with an optional prefix, and a start tag's rest.
-_NAME = r"(?:[^\s<>/!?:]+:)?[^\s<>/!?:]+"
-_REST = r"(?:\s[^<>]*)?"
-
-
-def key_parents(spark: SparkSession, path: str, name_glob: str, key: str = "VPID") -> list[str]:
-    """Local names of all elements that have a ``key`` child, in order.
-
-    Files are read as text in pieces that end with ``key>`` (so they are split
-    over tasks). Where a key's start tag directly follows a start tag, that is
-    the parent. Otherwise what stands before it, without comments, CDATA and
-    closed elements, ends with the open element that holds the key; where
-    nothing is open, the key is a further one of an element already seen. The
-    names are bounded by the schema's vocabulary.
-    """
-    text = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name_glob)
-            .option("lineSep", f"{key}>").text(path))
-    plain = F.regexp_extract("value", rf"<({_NAME})(?:\s[^<>]*[^<>/])?>\s*<(?:[^\s<>/!?:]+:)?$", 1)
-    odd = (F.contains("value", F.lit("<!")) | F.col("value").rlike(rf"<(?:[^\s<>/!?:]+:)?{key}[\s/]")
-           | (F.col("value").rlike(r"<(?:[^\s<>/!?:]+:)?$") & (plain == "")))
-    local = lambda c: F.substring_index(c, ":", -1)
-    first = text.select(F.when(odd, "").otherwise(local(plain)).alias("tag"), odd.alias("odd")).distinct().collect()
-    tags = {r["tag"] for r in first}
-    if any(r["odd"] for r in first):
-        before = F.regexp_replace("value", r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<[?!][^>]*>", "")
-        # cut at the key's own start tag: bare (the piece ends in it) or with attributes or self-closing
-        starts = F.split(before, rf"<(?:[^\s<>/!?:]+:)?(?:{key}(?:\s[^<>]*)?/?>|{key}\s[^<>]*$|$)")
-        heads = text.where(odd).select(F.explode(F.slice(starts, 1, F.size(starts) - 1)).alias("x"))
-        # the open elements, outermost first; an end tag ends the last one, at any depth
-        opened = F.aggregate(
-            F.regexp_extract_all("x", F.lit(rf"(</?{_NAME}{_REST}/?>)"), 1), F.array().cast("array<string>"),
-            lambda up, t: F.when(F.endswith(t, F.lit("/>")), up)
-            .when(F.startswith(t, F.lit("</")), F.slice(up, 1, F.greatest(F.size(up) - 1, F.lit(0))))
-            .otherwise(F.concat(up, F.array(F.regexp_extract(t, rf"<({_NAME})", 1)))))
-        open_ = F.coalesce(F.try_element_at(opened, F.lit(-1)), F.lit(""))
-        tags |= {r["tag"] for r in heads.select(local(open_).alias("tag")).distinct().collect()}
-    return sorted(tags - {""})
-
-
-def _has_rows(df: DataFrame) -> bool:
-    # take(1) scans partitions incrementally (one first), where isEmpty
-    # starts every partition at once; no column is transferred.
-    return bool(df.select().take(1))
-
-
 def _require_rows(df: DataFrame, what: str, check_rows: bool) -> DataFrame:
-    if check_rows and not _has_rows(df):
+    if check_rows and not df.select().take(1):
         raise NoRecordsError(f"{what} records are empty")
     return df
 
 
 def read_products_xml(spark: SparkSession, path: str, name_glob: str = PRODUCT_FILES,
-                      row_tag: str = "VMP", check_rows: bool = True) -> DataFrame:
+                      row_tag: str = "VMP", check_rows: bool = True, scratch: str | None = None) -> DataFrame:
     """Product records (vpid, vmp_nm, vtmid, vpid_prev) from XML files.
     Every ``row_tag`` element is a record, with ``""`` for absent children."""
-    raw = read_xml_records(spark, path, row_tag, PRODUCT_TAGS.values(), name_glob)
     _require_files(spark, path, name_glob, "product")
-    out = product_records(raw.select(*[_first(t).alias(c) for c, t in PRODUCT_TAGS.items()]))
+    raw = xml_records(spark, path, name_glob, list(PRODUCT_TAGS.values()), lambda name, _: name == row_tag,
+                      scratch or scratch_path(spark, "xml", unique=True))
+    out = product_records(raw.select(*[F.col(t).alias(c) for c, t in PRODUCT_TAGS.items()]))
     return _require_rows(out, "product", check_rows)
 
 
 def read_classifications_xml(spark: SparkSession, path: str, name_glob: str = CLASSIFICATION_FILES,
-                             row_tags=None, check_rows: bool = True) -> DataFrame:
+                             row_tags=None, check_rows: bool = True, scratch: str | None = None) -> DataFrame:
     """Classification records (vpid, bnf_code, atc_code, ddd, ddd_uom).
 
     A record is any element whose first ``VPID`` child has text before
     trimming: ``<VPID/>`` is skipped, ``<VPID> </VPID>`` gives the key ``""``.
-    The elements' names are found in the files (``key_parents``) unless
-    ``row_tags`` lists them. The unit is ``DDD_UOMCD`` if non-empty, else
-    ``DDD_UOM``, translated through the unit code table.
+    ``row_tags`` keeps elements of these names only. The unit is ``DDD_UOMCD``
+    if non-empty, else ``DDD_UOM``, translated through the unit code table.
     """
     _require_files(spark, path, name_glob, "classification")
-    parts = []
-    for tag in row_tags or key_parents(spark, path, name_glob) or ("VMP",):
-        raw = read_xml_records(spark, path, tag, CLASSIFICATION_TAGS.values(), name_glob)
-        vpid = _first("VPID")
-        parts.append(raw.filter(vpid.isNotNull() & (vpid != ""))
-                     .select(*[_first(t).alias(c) for c, t in CLASSIFICATION_TAGS.items()]))
-    raw_all = parts[0]
-    for p in parts[1:]:
-        raw_all = raw_all.unionByName(p)
-    # Emptiness is checked tag by tag and stops at the first tag with a
-    # record: a scan for a tag that a file lacks reads the whole file.
-    if check_rows and not any(_has_rows(p) for p in parts):
-        raise NoRecordsError("classification records are empty")
-    return classification_records(raw_all)
+    key = CLASSIFICATION_TAGS["vpid"]
+    names = None if row_tags is None else frozenset(row_tags)
+    raw = xml_records(spark, path, name_glob, list(CLASSIFICATION_TAGS.values()),
+                      lambda name, kids: bool(kids.get(key)) and (names is None or name in names),
+                      scratch or scratch_path(spark, "xml", unique=True))
+    out = raw.select(*[F.col(t).alias(c) for c, t in CLASSIFICATION_TAGS.items()])
+    return classification_records(_require_rows(out, "classification", check_rows))
 
 
 def write_xml_records(df: DataFrame, path: str, row_tag: str, root_tag: str, tags: dict[str, str],
