@@ -122,14 +122,22 @@ def ddd_lookup_names(df: DataFrame) -> DataFrame:
 
 def shown(c: str, dtype: str) -> Column:
     """A cell as the table shows it: numbers as plain decimals without
-    trailing zeros or exponent (``1500.0`` shows as ``1500``, ``5.0E-4`` as
-    ``0.0005``), other values as text. Doubles of 1e20 and more, which have
-    no plain form here, keep their text."""
+    trailing zeros or exponent, at any magnitude (``1500.0`` shows as
+    ``1500``, ``5.0E-4`` as ``0.0005``, ``1.0E21`` with 21 zeros), other
+    values as text."""
     x = F.col(c)
-    if dtype in ("double", "float"):
-        plain = x.try_cast("decimal(38,18)").cast("string")
-        return F.coalesce(F.rtrim(F.rtrim(plain, F.lit("0")), F.lit(".")), x.cast("string"))
-    return x.cast("string")
+    if dtype not in ("double", "float"):
+        return x.cast("string")
+    text = (x + F.lit(0).cast(dtype)).cast("string")             # no negative zero
+    sign = F.when(F.startswith(text, F.lit("-")), "-").otherwise("")
+    mantissa = F.ltrim(F.substring_index(text, "E", 1), F.lit("-"))
+    exponent = F.substring_index(text, "E", -1).try_cast("int")
+    digits = F.rtrim(F.replace(mantissa, F.lit("."), F.lit("")), F.lit("0"))
+    large = F.rpad(digits, F.greatest(F.length(digits), exponent + 1), F.lit("0"))
+    plain = (F.when(exponent < 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits))
+             .otherwise(F.rtrim(F.concat(F.left(large, exponent + 1), F.lit("."), F.substr(large, exponent + 2)), F.lit("."))))
+    return (F.when(F.contains(text, F.lit("E")), F.concat(sign, plain))
+            .when(F.contains(text, F.lit(".")), F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))).otherwise(text))
 
 
 def _cell_has(c: str, dtype: str, word: str) -> Column:

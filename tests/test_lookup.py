@@ -44,3 +44,18 @@ def test_pages_follow_each_other(spark):
     assert pages == full
     assert [tuple(r) for r in lk.lookup_page(table(spark), 2, 2).collect()] == full[2:4]
     assert rows_after(table(spark), ["atc_code", "ddd"], (None, 2.0)).count() == 1
+
+
+def test_numbers_are_shown_plain_at_any_magnitude(spark):
+    from decimal import Decimal
+
+    values = [0.0, -0.0, 1.0, 1500.0, 5e-4, 5e-19, 1e20, 1.5e21, 123456789.125, -2.5e-7, 1e7, 12345678.9, 1e300, -9.99e15, 0.1, 100.0, 1.2e-3]
+    rows = spark.createDataFrame([(v,) for v in values], "x double").select("x", lk.shown("x", "double").alias("s")).collect()
+    for r in rows:
+        want = f"{Decimal(repr(r.x + 0.0)):f}"
+        assert r.s == (want.rstrip("0").rstrip(".") if "." in want else want)
+    odd = spark.createDataFrame([(float("nan"),), (float("inf"),), (None,)], "x double").select(lk.shown("x", "double").alias("s")).collect()
+    assert [r.s for r in odd] == ["NaN", "Infinity", None]
+    tiny = spark.createDataFrame([("A", 5e-19), ("B", 2e20)], "atc_code string, ddd double")
+    assert [r.atc_code for r in lk.ddd_search(tiny, "0000005").collect()] == ["A"]
+    assert [r.atc_code for r in lk.ddd_search(tiny, "200000000000000000000").collect()] == ["B"]
