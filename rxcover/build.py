@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rxcover.operators.prepared import antibiotics, prepare
 from rxcover.operators.reports import report_bundle, report_cube
 from rxcover.operators.spine import build_metrics, build_spine, unit_top
-from rxcover.sinks import writers
+from rxcover.sinks import releases, writers
 from rxcover.sources.xml import read_classifications_xml, read_products_xml
 
 
@@ -42,38 +42,41 @@ def run_build(spark: SparkSession, products_dir: str, classifications_dir: str,
 
     Raises when a source has no file or no record, when a product key is
     repeated, or when an XML file is malformed. All tables are written to a
-    run folder below ``out_dir`` and checked there; only then are the outputs
-    replaced, one folder rename each. A failed build leaves every old output
-    as it was. A failure of the catalog is reported in ``catalog_error``; the
-    files are complete then.
+    run folder below ``out_dir`` and checked there; only then does the folder
+    become the current release, by one rename (:mod:`rxcover.sinks.releases`).
+    A failed build leaves the old release as it was. Catalog tables are then
+    pointed to the release's folders, all or none; a failure of the catalog is
+    reported in ``catalog_error``, and the files are complete then.
     """
-    out = out_dir.rstrip("/")
-    run = f"{out}/_run-{uuid.uuid4().hex}"
+    out, release = out_dir.rstrip("/"), uuid.uuid4().hex
+    run = f"{out}/_run-{release}"
     names = {"products": "vmp.parquet", "classifications": "bnf.parquet", "spine": "spine.parquet", "spine_csv": "spine.csv"}
     staged = {k: f"{run}/{v}" for k, v in names.items()}
-    done = BuildOutputs(**{k: f"{out}/{v}" for k, v in names.items()})
+    scratch = f"{out}/_scratch-{release}"
     try:
-        writers.write_parquet(read_products_xml(spark, products_dir), staged["products"])
-        writers.write_parquet(read_classifications_xml(spark, classifications_dir, row_tags=row_tags),
-                              staged["classifications"])
+        writers.write_parquet(read_products_xml(spark, products_dir, scratch=f"{scratch}/products"), staged["products"])
+        writers.write_parquet(read_classifications_xml(spark, classifications_dir, row_tags=row_tags,
+                                                       scratch=f"{scratch}/classifications"), staged["classifications"])
         vmp = spark.read.parquet(staged["products"])
         bnf = spark.read.parquet(staged["classifications"])
         writers.write_parquet(build_spine(vmp, bnf, validate=True, sort=sort, fallback_unit_first=fallback_unit_first),
                               staged["spine"])
         spine = spark.read.parquet(staged["spine"])
         writers.write_csv(spine, staged["spine_csv"])
-        done.metrics = {r["metric"]: r["value"] for r in build_metrics(vmp, bnf, spine).collect()}
-        done.units = [(r["ddd_uom"], r["n"]) for r in unit_top(bnf).collect()]
-        writers.publish(spark, {staged[k]: getattr(done, k) for k in names})
+        metrics = {r["metric"]: r["value"] for r in build_metrics(vmp, bnf, spine).collect()}
+        units = [(r["ddd_uom"], r["n"]) for r in unit_top(bnf).collect()]
+        done = BuildOutputs(**releases.publish(spark, run, out, release, names), metrics=metrics, units=units)
     finally:
         writers.remove(spark, run)
+        writers.remove(spark, scratch)
     if database:
         try:
-            done.tables = writers.save_tables(
-                spark, {"vmp": spark.read.parquet(done.products), "bnf": spark.read.parquet(done.classifications),
-                        "spine": spark.read.parquet(done.spine)}, database, location=f"{out}/tables")
+            done.tables = releases.point_tables(
+                spark, {"vmp": done.products, "bnf": done.classifications, "spine": done.spine}, database)
         except Exception as e:  # noqa: BLE001  the files are the build's result
             done.catalog_error = str(e)
+    if done.catalog_error is None:       # else tables may still read an older release
+        releases.prune(spark, out)
     return done
 
 
@@ -86,7 +89,9 @@ def reports(spine: DataFrame, levels: int = 4, antibiotic: str = "any") -> dict[
 
 def run_reports(spark: SparkSession, spine_path: str, out_dir: str, levels: int = 4,
                 antibiotic: str = "any") -> dict[str, str]:
-    """Write one Parquet table per report under ``out_dir``.
+    """Write one Parquet table per report under ``out_dir``. ``spine_path``
+    is a spine table, or the output folder of a build, whose current release
+    is read.
 
     The spine is scanned once: its prepared rows are counted per
     combination of the columns the reports group and filter on (the count
@@ -95,7 +100,7 @@ def run_reports(spark: SparkSession, spine_path: str, out_dir: str, levels: int
     cube each report would scan the spine again.
     """
     out = out_dir.rstrip("/")
-    prep = prepare(spark.read.parquet(spine_path), levels=levels, antibiotic=antibiotic)
+    prep = prepare(spark.read.parquet(releases.resolved(spark, spine_path, "spine")), levels=levels, antibiotic=antibiotic)
     writers.write_parquet(report_cube(prep), f"{out}/_cube")
     cube = spark.read.parquet(f"{out}/_cube")
     return writers.write_reports(report_bundle(cube, antibiotics(cube, antibiotic=antibiotic)), out)

@@ -7,8 +7,12 @@ leaves no half-written table behind as committed.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+from rxcover.sinks.releases import point_tables
+
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
@@ -36,26 +40,6 @@ def _file_system(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def publish(spark: SparkSession, staged: dict[str, str]) -> None:
-    """Replace each target folder by its staged folder: the old one is set
-    aside, the new one renamed into place, then the old one is removed."""
-    for source, target in staged.items():
-        old = f"{target}.old"
-        src, fs = _file_system(spark, source)
-        dst, _ = _file_system(spark, target)
-        aside, _ = _file_system(spark, old)
-        fs.delete(aside, True)
-        had = fs.exists(dst)
-        if had and not fs.rename(dst, aside):
-            raise OSError(f"can't set aside {target}")
-        if not fs.rename(src, dst):
-            if had:
-                fs.rename(aside, dst)
-            raise OSError(f"can't publish {target}")
-        fs.delete(aside, True)
-        spark.catalog.refreshByPath(target)
-
-
 def remove(spark: SparkSession, path: str) -> None:
     """Remove a folder this library made."""
     p, fs = _file_system(spark, path)
@@ -67,20 +51,26 @@ def save_tables(spark: SparkSession, tables: dict[str, DataFrame], database: str
     """Replace catalog tables ``database.<name>`` with the given DataFrames;
     the database is created when absent. Returns the qualified names.
 
-    With ``location`` each table is stored at ``<location>/<name>`` (an
-    external table), so a rebuild replaces it whether or not the catalog
-    still lists it; without, they are managed tables of the warehouse.
+    With ``location`` all tables are written to a new folder below it first
+    and then pointed there together (external tables), so a failure leaves
+    every old one; without, they are managed tables of the warehouse, replaced
+    one by one.
     """
-    loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{loc}")
+    if location:
+        version = f"{location.rstrip('/')}/{uuid.uuid4().hex}"
+        paths = {name: f"{version}/{name}" for name in tables}
+        try:
+            for name, df in tables.items():
+                write_parquet(df, paths[name])
+            return point_tables(spark, paths, database)
+        except Exception:
+            remove(spark, version)
+            raise
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     names = {}
     for name, df in tables.items():
-        qualified = f"`{database}`.`{name}`"
-        w = df.write.mode("overwrite").format("parquet")
-        if location:
-            w = w.option("path", f"{location.rstrip('/')}/{name}")
-        w.saveAsTable(qualified)
-        names[name] = qualified
+        names[name] = f"`{database}`.`{name}`"
+        df.write.mode("overwrite").format("parquet").saveAsTable(names[name])
     return names
 
 

@@ -1,8 +1,9 @@
 """Sinks: Parquet, CSV (empty and null), catalog tables, report sets, load status."""
 
+import pytest
 from pyspark.sql import types as T
 
-from rxcover.sinks import writers
+from rxcover.sinks import releases, writers
 from rxcover.sources.tables import load_status
 
 SCHEMA = T.StructType([T.StructField("vpid", T.StringType()), T.StructField("atc_code", T.StringType()),
@@ -53,6 +54,19 @@ def test_catalog_tables_replace(spark, tmp_path):
     assert spark.table(names["spine"]).count() == 3
 
 
+def test_a_failed_second_table_leaves_all_old(spark, tmp_path, monkeypatch):
+    a, b, c = (str(tmp_path / x) for x in "abc")
+    for p, n in ((a, 3), (b, 2), (c, 1)):
+        writers.write_parquet(frame(spark).limit(n), p)
+    names = releases.point_tables(spark, {"x": a, "y": b}, "rxcover_point_test")
+    with pytest.raises(Exception):  # noqa: B017
+        releases.point_tables(spark, {"x": c, "z": c, "y": str(tmp_path / "missing") + "'"}, "rxcover_point_test")
+    assert [spark.table(names[t]).count() for t in "xy"] == [3, 2]
+    assert not spark.catalog.tableExists("rxcover_point_test.z")
+    releases.point_tables(spark, {"x": c, "y": c}, "rxcover_point_test")
+    assert [spark.table(names[t]).count() for t in "xy"] == [1, 1]
+
+
 def test_catalog_managed_tables(spark):
     names = writers.save_tables(spark, {"t": frame(spark)}, "rxcover_managed_test")
     writers.save_tables(spark, {"t": frame(spark).limit(2)}, "rxcover_managed_test")
