@@ -45,6 +45,8 @@ GROUP_PIECES, GROUP_TOKENS, SPREAD = 1 << 13, 1 << 24, 4
 ROUNDS, MIX = 8, (0, 16, 4)
 #: Texts a task tokenises at a time, characters of a text at a time, words kept.
 TEXTS, BLOCK, WORDS = 256, 1 << 20, 1 << 19
+#: New words tokenised as one line, and what marks a word's last piece.
+LINE, WORD_END = 500, "</w>"
 
 #: Characters that the tokenizer's normal form leaves alone but for the case,
 #: and its split of such texts into words (a fixed pattern of the vocabulary).
@@ -62,27 +64,54 @@ class Tokens:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.marks = tuple(x.content for x in self.tokenizer.get_added_tokens_decoder().values())
         self.known: dict[str, bytes] = {}
-
-    def words(self, text: str) -> list[str]:
-        """Strings whose ids, one after the other, are the text's."""
-        if PLAIN.fullmatch(text) and not any(m in text for m in self.marks):
-            return SPLIT.findall(text.lower())
-        return SPACES.split(text)
+        # words in normal form need the merges only; a word's last id ends it
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = WhitespaceSplit()
+        ids = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(ids.values()) + 1, bool)
+        self.ends[[i for piece, i in ids.items() if piece.endswith(WORD_END)]] = True
+
+    def learn_words(self, words: list[str]) -> None:
+        lines = [words[i:i + LINE] for i in range(0, len(words), LINE)]
+        coded = self.merges.encode_batch_fast([" ".join(map(byte_form, line)) for line in lines], add_special_tokens=False)
+        for line, e in zip(lines, coded):
+            ids = np.array(e.ids, "<u4")
+            data, at = ids.tobytes(), 0
+            for word, end in zip(line, (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist(), strict=True):
+                self.known[word], at = data[at:end], end
+
+    def learn_chunks(self, chunks: list[str]) -> None:
+        for chunk, e in zip(chunks, self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)):
+            self.known[chunk] = np.array(e.ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > WORDS:
             self.known.clear()
-        split = [[self.words(part) for part in blocks(t)] for t in texts]
-        new = list(set().union(*(part for parts in split for part in parts)).difference(self.known))
-        for word, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[word] = np.array(e.ids, "<u4").tobytes()
+        plain, other, split = set(), set(), []
+        for t in texts:
+            easy = PLAIN.fullmatch(t) and not any(m in t for m in self.marks)
+            parts = [SPLIT.findall(part.lower()) if easy else SPACES.split(part) for part in blocks(t)]
+            (plain if easy else other).update(*parts)
+            split.append(parts)
+        self.learn_words(list(plain.difference(self.known)))
+        self.learn_chunks(list(other.difference(self.known)))
         return [b"".join(b"".join(map(self.known.__getitem__, part)) for part in parts) for parts in split]
 
 
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+#: The vocabulary's letter of every byte: itself if it can be shown, else the next from U+0100.
+BYTE_FORM = dict(zip([*_SHOWN, *sorted(set(range(256)) - set(_SHOWN))], [*_SHOWN, *range(256, 512)]))
+
+
+def byte_form(word: str) -> str:
+    return word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_FORM)
+
+
 def blocks(text: str) -> Iterator[str]:
     """The text in parts that end before white space."""
     at = 0

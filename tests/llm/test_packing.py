@@ -20,8 +20,11 @@ ODD = ["", " ", "It's the cat's, they'RE we'd'll 'S", "<|endoftext|> a<|startoft
        "\U0001f600\U0001f468‍\U0001f469 emoji", "x" * 300, "tab\tnew\nline\r\n\x0c", "ǅẞﬁ Å Ω", "\x00\x7f\xad", "don''t !!?? ...--- #$%"]
 
 
+_TOKENIZER, _TOKENS = Tokenizer.from_file(pk.MODEL), pk.Tokens(pk.MODEL)
+
+
 def expected(text):
-    return Tokenizer.from_file(pk.MODEL).encode(text or "", add_special_tokens=False).ids + [1]
+    return _TOKENIZER.encode(text or "", add_special_tokens=False).ids + [1]
 
 
 def test_ids_equal_the_tokenizer(monkeypatch):
@@ -35,8 +38,7 @@ def test_ids_equal_the_tokenizer(monkeypatch):
 @settings(max_examples=300, deadline=None)
 @given(st.text(max_size=60))
 def test_any_text(text):
-    t = test_any_text.__dict__.setdefault("tokens", pk.Tokens(pk.MODEL))
-    assert np.frombuffer(t.encode([text])[0], "<u4").tolist() + [1] == t.tokenizer.encode(text, add_special_tokens=False).ids + [1]
+    assert np.frombuffer(_TOKENS.encode([text])[0], "<u4").tolist() + [1] == expected(text)
 
 
 def best_count(sizes, c):
