@@ -18,8 +18,9 @@ equal anchors at equal places, so
    place around the anchor, first into blocks, then into single windows, which
    need only counting. So no group grows with the corpus.
 
-Equal whole texts are one class. Windows, texts and items are identified by
-64-bit hashes; windows of different items are compared byte by byte.
+Equal whole texts are one class. Texts and items are identified by 64-bit
+hashes. Windows of different items are compared byte by byte where an anchor
+has up to ``SPLIT`` of them; beyond, single windows are counted by their hash.
 
 Defined results: a null text is empty; texts shorter than ``width`` keep all;
 overlapping occurrences count; strings are judged on the input; repeated rows
@@ -363,8 +364,10 @@ def _counted(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     by_item = stored(rows.groupBy("g", "x").agg(F.count(F.lit(1)).alias("c"), one), "window-items")
     again = by_item.where("c > 1").select("g", "x")
     sure = rows.join(again, ["g", "x"]).select("sig", "lo", "hi")
-    anchors = by_item.groupBy("g").agg(F.count(F.lit(1)).alias("d"), F.sum((F.col("c") == 1).cast("int")).alias("once"))
-    open_ = by_item.join(anchors.where("d > 1 and once > 0").select("g", "d"), "g").select(
+    # written, so that the join is of two plain tables and a hot anchor can be split
+    anchors = stored(by_item.groupBy("g").agg(F.count(F.lit(1)).alias("d"), F.sum((F.col("c") == 1).cast("int")).alias("once"))
+                     .where("d > 1 and once > 0").select("g", "d"), "window-anchors")
+    open_ = by_item.join(anchors, "g").select(
         "g", "x", "d", (F.col("c") > 1).alias("many"), "r.*")
     return sure, stored(open_, "window-open")
 
@@ -376,7 +379,7 @@ def repeated_ranges(docs: DataFrame, scanned: DataFrame, whole: DataFrame, width
     core = width // 2
     rows = scanned.select("sig", F.explode(F.arrays_zip("g", "x", "p", "lo", "hi")).alias("i")).select(
         "sig", "i.*", F.lit(0).alias("l0"), F.lit(width - core + 1).alias("l1"))
-    shared = rows.groupBy("g").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("g")
+    shared = stored(rows.groupBy("g").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("g"), "window-shared")
     rows = stored(rows.join(shared, "g", "left_semi"), "window-rows")
     sure, items = _counted(rows)
     out = [stored(sure.distinct().join(whole, "sig", "left_anti"), "window-sure")]

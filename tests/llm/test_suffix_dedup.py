@@ -72,3 +72,13 @@ def test_kept_bytes_and_empty(spark, make_docs):
     shared = "".join(random.Random(5).choice("abcdefgh") for _ in range(450))
     got = {r.doc_id: r for r in sd.remove_repeats(make_docs([(1, "one " + shared + " end"), (2, shared + "two")])).collect()}
     assert bytes(got[1].kept) == b"one  end" and bytes(got[2].kept) == b"two" and got[1].n_removed == 450
+
+
+def test_hot_anchor_at_full_width(spark, make_docs):
+    """More distinct items of one anchor than are sorted together, at the contract's width."""
+    rng = random.Random(11)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    core, tails = letters(330), [letters(90) for _ in range(3)]
+    rows = list(enumerate(letters(100) + core + (tails[i % 3] if i % 7 == 0 else letters(90)) for i in range(sd.SPLIT + 44)))
+    got = sd.remove_repeats(make_docs(rows), 400)
+    assert sorted([tuple(r)[:5] for r in got.collect()], key=repr) == brute(rows, 400)
