@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rxcover.operators.lookup import lookup_index
 from rxcover.operators.prepared import antibiotics, prepare
 from rxcover.operators.reports import report_bundle, report_cube
 from rxcover.operators.spine import build_metrics, build_spine, unit_top
@@ -29,6 +30,7 @@ class BuildOutputs:
     classifications: str
     spine: str
     spine_csv: str
+    search: str
     tables: dict[str, str] = field(default_factory=dict)
     metrics: dict[str, int] = field(default_factory=dict)
     units: list[tuple[str, int]] = field(default_factory=list)
@@ -50,7 +52,8 @@ def run_build(spark: SparkSession, products_dir: str, classifications_dir: str,
     """
     out, release = out_dir.rstrip("/"), uuid.uuid4().hex
     run = f"{out}/_run-{release}"
-    names = {"products": "vmp.parquet", "classifications": "bnf.parquet", "spine": "spine.parquet", "spine_csv": "spine.csv"}
+    names = {"products": "vmp.parquet", "classifications": "bnf.parquet", "spine": "spine.parquet", "spine_csv": "spine.csv",
+             "search": "search.parquet"}
     staged = {k: f"{run}/{v}" for k, v in names.items()}
     scratch = f"{out}/_scratch-{release}"
     try:
@@ -63,6 +66,7 @@ def run_build(spark: SparkSession, products_dir: str, classifications_dir: str,
                               staged["spine"])
         spine = spark.read.parquet(staged["spine"])
         writers.write_csv(spine, staged["spine_csv"])
+        writers.write_parquet(lookup_index(spine), staged["search"])
         metrics = {r["metric"]: r["value"] for r in build_metrics(vmp, bnf, spine).collect()}
         units = [(r["ddd_uom"], r["n"]) for r in unit_top(bnf).collect()]
         done = BuildOutputs(**releases.publish(spark, run, out, release, names), metrics=metrics, units=units)

@@ -80,14 +80,53 @@ def lookup_page(df: DataFrame, page_no: int = 1, size: int = codes.DDD_LOOKUP_PA
     return _collected(_of_keys(slim, wanted, keys)).orderBy(*_key_order(keys))
 
 
-def lookup_search(df: DataFrame, term: str | None = None,
-                  column_terms: dict[str, str | tuple] | None = None) -> DataFrame:
+def _grams(text: Column) -> Column:
+    """The distinct runs of three characters of a lower-cased text."""
+    low = F.lower(text)
+    return F.when(F.length(low) >= 3, F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.length(low) - 2), lambda i: F.substr(low, i, F.lit(3)))))
+
+
+def lookup_index(df: DataFrame) -> DataFrame:
+    """An inverted index of the lookup: distinct rows of a run of three
+    characters (``gram``) and the key of a group that shows it in a cell or a
+    name. In order of ``gram``, so that a stored index is read for the wanted
+    runs only; a run that many groups show is many plain rows."""
+    slim = _with_dose(df)
+    keys = present(slim, LOOKUP_GROUP)
+    types = dict(slim.dtypes)
+    names = slim.select(*keys, "vmp_nm").distinct().select(*keys, _grams(F.col("vmp_nm")).alias("grams"))
+    cells = slim.select(*keys).distinct()
+    for k in keys:
+        names = names.unionByName(cells.select(*keys, _grams(shown(k, types[k])).alias("grams")))
+    rows = names.select(F.explode("grams").alias("gram"), *keys).distinct()
+    return rows.repartitionByRange("gram", *keys).sortWithinPartitions("gram")
+
+
+def _wanted_grams(term: str | None, column_terms: dict[str, str | tuple] | None) -> list[str]:
+    """Runs of three characters that every match shows. A word is within one
+    cell or name; so is a phrase of a column, but for the names' separator."""
+    bar = codes.NAME_SEPARATOR.strip()
+    texts = (term or "").split()
+    texts += [t.strip() for t in (column_terms or {}).values() if isinstance(t, str) and bar not in t]
+    lows = [t.lower() for t in texts]
+    return sorted({t[i:i + 3] for t in lows for i in range(len(t) - 2)})
+
+
+def lookup_search(df: DataFrame, term: str | None = None, column_terms: dict[str, str | tuple] | None = None,
+                  index: DataFrame | None = None) -> DataFrame:
     """``ddd_search(ddd_lookup(df), ...)`` without collecting the names of
     groups that do not match: every word is tested on the group's cells and,
-    row by row, on its names."""
+    row by row, on its names. With an ``index`` (:func:`lookup_index`) only
+    groups that show all of the search's runs of three characters are tested;
+    a search without any reads all."""
     slim = _with_dose(df)
     keys = present(slim, LOOKUP_GROUP)
     types = dict(slim.dtypes)
+    grams = _wanted_grams(term, column_terms) if index is not None else []
+    if grams:
+        found = index.where(F.col("gram").isin(grams)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        slim = _of_keys(slim, found.where(F.col("n") == len(grams)).select(*keys), keys)
     name = F.when(_name_ok(F.col("vmp_nm")), F.lower("vmp_nm"))
 
     def in_names(w: str) -> Column:

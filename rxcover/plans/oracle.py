@@ -292,6 +292,9 @@ WHERE ddd IS NOT NULL AND vmp_nm IS NOT NULL AND length(vmp_nm) > 0""",
     "ddd_search": "SELECT * FROM lookup WHERE " + " AND ".join(_search_word(w) for w in q.SEARCH_TERM.split()),
     "ddd_search_columns": "SELECT * FROM lookup WHERE " + " AND ".join(
         _column_test(c, t) for c, t in q.SEARCH_COLUMNS.items()),
+    "ddd_search_indexed": "SELECT * FROM lookup WHERE " + " AND ".join(_search_word(w) for w in q.SEARCH_TERM.split())
+                          + " UNION ALL SELECT * FROM lookup WHERE " + " AND ".join(
+                              _column_test(c, t) for c, t in q.SEARCH_COLUMNS.items()),
     "page_of_table": f"""SELECT * FROM lookup ORDER BY atc_code NULLS LAST, ddd NULLS LAST, ddd_uom NULLS LAST,
   ddd_mg NULLS LAST LIMIT {codes.DDD_LOOKUP_PAGE_SIZE} OFFSET {(q.LOOKUP_PAGE - 1) * codes.DDD_LOOKUP_PAGE_SIZE}""",
     "abx_missing_page": "SELECT " + ", ".join(f"{c} AS {_quoted(h)}" for c, h in codes.ABX_MISSING_HEADERS.items())

@@ -398,6 +398,16 @@ def q_ddd_search_columns(spark, sf):
     return lk.lookup_search(spine_table(spark, sf), column_terms=SEARCH_COLUMNS)
 
 
+def q_ddd_search_indexed(spark, sf):
+    """The search and the column filters through a stored index."""
+    table = spine_table(spark, sf)
+    path = run_path(spark, "search")
+    writers.write_parquet(lk.lookup_index(table), path)
+    index = spark.read.parquet(path)
+    return (lk.lookup_search(table, term=SEARCH_TERM, index=index)
+            .unionByName(lk.lookup_search(table, column_terms=SEARCH_COLUMNS, index=index)))
+
+
 def q_page_of_table(spark, sf):
     return lk.lookup_page(spine_table(spark, sf), LOOKUP_PAGE, codes.DDD_LOOKUP_PAGE_SIZE)
 

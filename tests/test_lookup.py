@@ -22,12 +22,17 @@ def test_lookup(spark):
                                                 (1e22, "Solo")]
 
 
-def test_search_equals_search_of_the_table(spark):
+def test_search_equals_search_of_the_table(spark, tmp_path):
     full = lk.ddd_lookup(table(spark))
+    lk.lookup_index(table(spark)).write.parquet(str(tmp_path / "index"))
+    index = spark.read.parquet(str(tmp_path / "index"))
     for term, cols in (("0.0005", None), ("e-4", None), ("amox b", None), ("12345678.5", None), ("|", None), ("b j01", None),
                        (None, {"ddd": (0.0001, 2.0)}), (None, {"ddd": (None, 0.001)}), (None, {"ddd_mg": (1500.0, None), "atc_code": "j0"}),
-                       (None, {"drug_names": "a | amox"}), ("1500", {"ddd_uom": "MG"}), ("zzz", None), (None, None)):
+                       (None, {"drug_names": "a | amox"}), (None, {"drug_names": "mox a "}), ("AMOX", {"ddd": "000"}), ("z|z", None), ("1500", {"ddd_uom": "MG"}), ("zzz", None), (None, None)):
         assert ids(lk.lookup_search(table(spark), term, cols)) == ids(lk.ddd_search(full, term, cols)), (term, cols)
+        assert ids(lk.lookup_search(table(spark), term, cols, index)) == ids(lk.ddd_search(full, term, cols)), (term, cols)
+    plan = lk.lookup_search(table(spark), "amox", index=index)._jdf.queryExecution().executedPlan().toString()
+    assert "In(gram, [amo,mox])" in plan      # the index is read for the wanted runs only
     assert ids(lk.lookup_search(table(spark), "0.0005")) == [(0.0005, "Amox a | Amox b")]
     assert ids(lk.lookup_search(table(spark), "e-4")) == []
 
