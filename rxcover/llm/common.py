@@ -28,6 +28,19 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The ``names``, each lengthened until no column of ``df`` has it (Spark
+    compares names without case)."""
+    held = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in held:
+            name += "_"
+        held.add(name.lower())
+        out.append(name)
+    return out
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective mixer of unsigned 64-bit integers (vectorised)."""
     x = x.astype(np.uint64, copy=True)

@@ -5,10 +5,12 @@ A text is lower-cased; its subwords are the byte 3-grams and 4-grams of its
 words with their boundaries, hashed to a fixed number of buckets. Training
 reads a bounded, documented sample of labelled rows (``SAMPLE_ROWS`` rows by
 least hash of the id and ``LABEL_ROWS`` rows of each label by the same, so that
-every label is learned; ``SAMPLE_NGRAMS`` subwords from anywhere in each text)
-and runs on the driver on those numbers alone; prediction reads every whole text,
-in pieces of bounded size. At prediction embeddings and softmax collapse into
-one table of bucket by language.
+every label is learned), each as its bucket counts over the whole text (six
+bytes for a bucket that occurs, so at most 384 KB a row however long the text),
+and runs on the driver on those numbers alone, whose size grows with the number
+of labels but not of documents. Prediction reads every whole text, in pieces of
+bounded size; there embeddings and softmax collapse into one table of bucket by
+language.
 
 The probability is calibrated by a temperature fitted on a held-back part of
 the sample. A text is rejected when its calibrated probability, or the share
@@ -16,13 +18,13 @@ of its subwords ever seen in training, is below what the held-back texts
 show; ``und`` texts are always rejected.
 
 Defined results: a null text or one without a letter is ``und`` with score 0;
-rows with a null label are not learned from; without any labelled row every
-text is ``und``; copies and ties change nothing; other columns are not read.
+rows with a null label are not learned from; rows of one id, label and text are
+learned from once; without any labelled row every text is ``und``; copies and
+ties change nothing; other columns are not read.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,12 +33,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rxcover.llm.common import stored
+from rxcover.llm.common import free_names, stored
 
 SAMPLE_ROWS = 4000
 #: Each label has so many rows in the sample, or all that it has.
 LABEL_ROWS = 200
-SAMPLE_NGRAMS = 512
 LOG2_BUCKETS = 16
 DIMENSION = 16
 EPOCHS = 8
@@ -73,6 +74,22 @@ def pieces(text: str) -> Iterator[np.ndarray]:
         yield data[max(0, at - 3):at + PIECE]
 
 
+def bag(text: str) -> bytes:
+    """Bucket counts of a whole text: the buckets that occur (16 bits each),
+    then their counts (32 bits each)."""
+    counts = np.zeros(1 << LOG2_BUCKETS, np.int64)
+    for piece in pieces(text):
+        counts += np.bincount(subwords(piece), minlength=len(counts))
+    ids = np.flatnonzero(counts)
+    return ids.astype("<u2").tobytes() + np.minimum(counts[ids], 2 ** 32 - 1).astype("<u4").tobytes()
+
+
+def opened(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of a bag and their counts."""
+    n = len(data) // 6
+    return np.frombuffer(data, "<u2", n), np.frombuffer(data, "<u4", n, 2 * n)
+
+
 def has_letter(text: str | None) -> bool:
     return text is not None and any(map(str.isalpha, text))
 
@@ -111,10 +128,10 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def sample(docs: DataFrame, learn: Column, rows: int, ngrams: int, label_rows: int = LABEL_ROWS) -> list:
+def sample(docs: DataFrame, learn: Column, rows: int, label_rows: int = LABEL_ROWS) -> list:
     """The ``rows`` labelled rows with the least hash of the id, and of every
-    label the ``label_rows`` with the least, each as its label and at most
-    ``ngrams`` subwords."""
+    label the ``label_rows`` with the least, each as its label and the bag of
+    its whole text."""
     keyed = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
         F.xxhash64(F.col("doc_id").cast("string")).alias("h"), "lang", "text")
     # only texts with a letter are learned from
@@ -135,20 +152,23 @@ def sample(docs: DataFrame, learn: Column, rows: int, ngrams: int, label_rows: i
             out = []
             for h, lang, text in zip(pdf["h"], pdf["lang"], pdf["text"]):
                 if has_letter(text):
-                    g = np.concatenate([subwords(p) for p in pieces(text)])
-                    if len(g) > ngrams:
-                        g = np.random.default_rng(h & 0x7FFFFFFF).choice(g, ngrams, replace=False)
-                    out.append((h, lang, np.sort(g).tobytes()))
+                    out.append((h, lang, bag(text)))
+                if len(out) == 256:
+                    yield pd.DataFrame(out, columns=["h", "lang", "bag"])
+                    out = []
             yield pd.DataFrame(out, columns=["h", "lang", "bag"])
 
-    found = stored(keyed.mapInPandas(bags, "h long, lang string, bag binary"), "langid-sample")
-    first = found.orderBy("h", "lang", "bag").limit(rows).collect()
-    held = Counter(r["lang"] for r in first)
-    each = found.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "bag"))).where(
-        F.col("k") <= label_rows).collect()
-    # a label's rows in ``first`` are its first ones in the same order
-    first += [r for r in each if r["k"] > held[r["lang"]]]
-    return sorted(first, key=lambda r: (r["h"], r["lang"], bytes(r["bag"])))
+    found = stored(keyed.mapInPandas(bags, "h long, lang string, bag binary").withColumn("d", F.xxhash64("bag")),
+                   "langid-sample")
+    # rows are chosen by their keys; only the chosen ones' bags are read
+    keys = stored(found.select("h", "lang", "d").distinct(), "langid-keys")
+    first = keys.orderBy("h", "lang", "d").limit(rows)
+    each = keys.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "d"))).where(
+        F.col("k") <= label_rows).drop("k")
+    chosen = found.join(first.union(each).distinct(), ["h", "lang", "d"], "left_semi")
+    # a partition at a time: the driver's JVM never holds the whole sample
+    got = {(r["h"], r["lang"], r["d"]): r for r in stored(chosen, "langid-chosen").toLocalIterator()}
+    return [got[k] for k in sorted(got)]
 
 
 def fit(rows: list, epochs: int = EPOCHS, dimension: int = DIMENSION, seed: int = 7) -> Model:
@@ -159,7 +179,7 @@ def fit(rows: list, epochs: int = EPOCHS, dimension: int = DIMENSION, seed: int
                   np.ones(size, bool), 1.0, 0.0, 0.0)
     if len(languages) < 2:
         return empty
-    bags = [np.unique(np.frombuffer(bytes(r["bag"]), np.uint16), return_counts=True) for r in rows]
+    bags = [opened(bytes(r["bag"])) for r in rows]
     y = np.array([languages.index(r["lang"]) for r in rows])
     use = [i for i, b in enumerate(bags) if len(b[0])]
     learned = {y[i] for i in use if i % 5 != 4}
@@ -198,8 +218,8 @@ def fit(rows: list, epochs: int = EPOCHS, dimension: int = DIMENSION, seed: int
                  float(min(0.5, np.quantile(score, 0.001) / 2 + 0.5 / len(languages))), float(np.quantile(known, 0.001) / 2))
 
 
-def train(docs: DataFrame, learn: Column, rows: int = SAMPLE_ROWS, ngrams: int = SAMPLE_NGRAMS) -> Model:
-    return fit(sample(docs, learn, rows, ngrams))
+def train(docs: DataFrame, learn: Column, rows: int = SAMPLE_ROWS) -> Model:
+    return fit(sample(docs, learn, rows))
 
 
 def predicted(model: Model, text: Column) -> Column:
@@ -226,4 +246,5 @@ def identify(docs: DataFrame) -> DataFrame:
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose language is not rejected, all columns."""
     model = train(docs.select("doc_id", "text", "lang"), ~held_out(F.col("doc_id")))
-    return docs.withColumn("__p", predicted(model, F.col("text"))).where("not __p.rejected").select(*docs.columns)
+    p, = free_names(docs, "__p")
+    return docs.withColumn(p, predicted(model, F.col("text"))).where(~F.col(p)["rejected"]).select(*docs.columns)

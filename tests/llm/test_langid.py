@@ -65,13 +65,31 @@ def test_rare_labels_are_learned(spark, make_docs):
     for text, lang in {r[1]: r[2] for r in rows}.items():
         pred, _, rejected = model.predict(text)
         assert pred == lang and not rejected
-    assert {r["lang"] for r in langid.sample(docs, F.lit(True), 40, 512, 0)} == {"en", "de"}
-    got = langid.sample(docs, F.lit(True), 40, 512, 5)
+    assert {r["lang"] for r in langid.sample(docs, F.lit(True), 40, 0)} == {"en", "de"}
+    got = langid.sample(docs, F.lit(True), 40, 5)
     assert len(got) == 50 and [r["h"] for r in got] == sorted(r["h"] for r in got)
 
 
 def test_label_of_one_row_is_not_held_back():
-    bag = lambda t: np.sort(np.concatenate([langid.subwords(p) for p in langid.pieces(t)])).tobytes()
-    rows = [{"lang": "ru" if i == 4 else "en", "bag": bag("дом сад" if i == 4 else "the house")} for i in range(20)]
+    rows = [{"lang": "ru" if i == 4 else "en", "bag": langid.bag("дом сад" if i == 4 else "the house")} for i in range(20)]
     model = langid.fit(rows)
-    assert model.seen[np.frombuffer(rows[4]["bag"], np.uint16)].all()
+    assert model.seen[langid.opened(rows[4]["bag"])[0]].all()
+
+
+def test_bags_hold_every_subword_of_the_text():
+    long = "das haus und der garten ünd 12 " * 90000 + "nur am ende: xyzzy"       # several pieces
+    for text in ("", "a", "Hallo  Welt!", long):
+        ids, counts = langid.opened(langid.bag(text))
+        assert counts.sum() == len(brute_subwords(text)) and (np.diff(ids.astype(int)) > 0).all()
+    end = langid.opened(langid.bag("nur am ende: xyzzy"))[0]
+    assert np.isin(end, langid.opened(langid.bag(long))[0]).all()
+
+
+def test_sample_learns_whole_texts_and_repeated_rows_once(spark, make_docs):
+    """What stands only after many subwords of a long text is learned from."""
+    rows = [(i, "the house and the garden " * 400 + "zyxomma", "en") for i in range(6)] * 3
+    rows += [(10 + i, "das haus und der garten " * 400, "de") for i in range(6)]
+    got = langid.sample(make_docs(rows), F.lit(True), 100)
+    assert len(got) == 12
+    word = langid.opened(langid.bag("zyxomma"))[0]
+    assert sum(np.isin(word, langid.opened(r["bag"])[0]).all() for r in got) == 6
