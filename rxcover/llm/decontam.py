@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rxcover.llm.common import bit_filter, stored
+from rxcover.llm.common import bit_filter, free_names, stored
 from rxcover.llm.words import WORD_ASCII, gram_hashes, word_hashes
 
 LEAST, COVERAGE = 5, 0.5
@@ -141,8 +141,9 @@ def tiled(docs: DataFrame, items: DataFrame, least: int = LEAST, coverage: float
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, **kw) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item."""
+    bad_id, bad_code, own = free_names(docs, "__bad", "__code", "__own")
     bad = tiled(docs.select("doc_id", "text"), items, **kw).select(
-        F.col("doc_id").alias("__bad"), F.col("code").alias("__code")).distinct()
-    return docs.withColumn("__own", F.xxhash64("text")).join(
-        bad, F.col("doc_id").cast("long").eqNullSafe(F.col("__bad")) & (F.col("__own") == F.col("__code")),
+        F.col("doc_id").alias(bad_id), F.col("code").alias(bad_code)).distinct()
+    return docs.withColumn(own, F.xxhash64("text")).join(
+        bad, F.col("doc_id").cast("long").eqNullSafe(F.col(bad_id)) & (F.col(own) == F.col(bad_code)),
         "left_anti").select(*docs.columns)

@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rxcover.llm.common import bit_filter, components, mix64, stored
+from rxcover.llm.common import bit_filter, components, free_names, mix64, stored
 from rxcover.llm.words import LOWER_ASCII, gram_hashes, word_hashes
 
 SHORT = 32          # classes in a column whose pairs are counted one by one
@@ -288,8 +288,9 @@ def keep_representatives(docs: DataFrame, n: int = 5, num: int = 80, den: int =
     key = F.struct(F.col("doc_id").isNull().alias("nul"), "doc_id", "code")
     heads = rows.where("c is not null").groupBy("c").agg(F.min(key).alias("k")).select("k.doc_id", "k.code").union(
         rows.where("c is null").select("doc_id", "code")).distinct()
-    heads = heads.select(F.col("doc_id").alias("__id"), F.col("code").alias("__code"))
-    out = docs.withColumn("__own", text_code()).join(
-        heads, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__code")))
+    head_id, head_code, own = free_names(docs, "__id", "__code", "__own")
+    heads = heads.select(F.col("doc_id").alias(head_id), F.col("code").alias(head_code))
+    out = docs.withColumn(own, text_code()).join(
+        heads, F.col("doc_id").cast("long").eqNullSafe(F.col(head_id)) & (F.col(own) == F.col(head_code)))
     # repeated rows share the join's own keys: no exchange
-    return out.dropDuplicates(["__id", "__code"]).select(*docs.columns)
+    return out.dropDuplicates([head_id, head_code]).select(*docs.columns)

@@ -67,11 +67,12 @@ def test_run_equals_brute_force(spark, make_docs):
 
 def test_stages_keep_columns_and_empty_tables(spark, make_docs):
     d, _, _ = fixture(spark, make_docs)
-    extra = ("kept", "sig", "pieces", "code", "__x")
+    extra = ("kept", "sig", "pieces", "code", "__x", "__own", "__p", "__P_", "__keep_id", "__keep_sha", "__sha", "__id", "__code", "__bad")
     for empty in (False, True):
         docs = make_docs([] if empty else [(1, "the garden and the house", "en"), (1, "the garden and the house", "en")], extra=extra)
         for _, stage in cp.STAGES[:-1]:
             out = stage(spark, docs, d)
             assert out.columns == docs.columns
+            assert all(r[c] == "clash" for r in out.collect() for c in extra)
             assert out.count() <= docs.count() and (not empty or out.count() == 0)
         assert cp.STAGES[-1][1](spark, docs, d).count() == docs.count()
