@@ -62,8 +62,8 @@ def run_build(spark: SparkSession, products_dir: str, classifications_dir: str,
                                                        scratch=f"{scratch}/classifications"), staged["classifications"])
         vmp = spark.read.parquet(staged["products"])
         bnf = spark.read.parquet(staged["classifications"])
-        writers.write_parquet(build_spine(vmp, bnf, validate=True, sort=sort, fallback_unit_first=fallback_unit_first),
-                              staged["spine"])
+        writers.write_parquet(build_spine(vmp, bnf, validate=True, sort=sort, fallback_unit_first=fallback_unit_first,
+                                          stage=f"{scratch}/matched" if sort else None), staged["spine"])
         spine = spark.read.parquet(staged["spine"])
         writers.write_csv(spine, staged["spine_csv"])
         writers.write_parquet(lookup_index(spine), staged["search"])

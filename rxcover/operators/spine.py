@@ -17,6 +17,12 @@ distinct key set, aggregated map-side before it is shuffled. When the
 products side is under the broadcast threshold (Spark checks its size from
 statistics, and adaptive execution re-checks it at run time), the inner
 join streams the classification records with no shuffle at all.
+
+Lazily, the anti join scans the key column of the classifications a second
+time, and a global sort computes its input once more to choose its ranges.
+With a ``stage`` folder the matched rows are written once, finished; the
+anti join and the sort read that table, so the classification records are
+scanned, joined and parsed once however the result is used.
 """
 
 from __future__ import annotations
@@ -53,12 +59,19 @@ def assert_unique(df: DataFrame, key: str = "vpid") -> None:
 def join_one_to_many(left: DataFrame, right: DataFrame, key: str = "vpid") -> DataFrame:
     """``left LEFT JOIN right USING (key)`` for a left side with unique keys,
     in the skew-splittable form described in the module docstring."""
-    left_cols = list(left.columns)
-    right_types = {f.name: f.dataType for f in right.schema.fields if f.name != key}
-    matched = right.join(left, key, "inner").select(*left_cols, *right_types)
-    unmatched = left.join(right.select(key).distinct(), key, "left_anti").select(
-        *left_cols, *[F.lit(None).cast(t).alias(c) for c, t in right_types.items()])
-    return matched.unionByName(unmatched)
+    return matched_rows(left, right, key).unionByName(unmatched_rows(left, right, right.select(key), key))
+
+
+def matched_rows(left: DataFrame, right: DataFrame, key: str = "vpid") -> DataFrame:
+    """The rows of the left join that have a right side."""
+    return right.join(left, key, "inner").select(*left.columns, *[c for c in right.columns if c != key])
+
+
+def unmatched_rows(left: DataFrame, right: DataFrame, keys: DataFrame, key: str = "vpid") -> DataFrame:
+    """The rows of ``left`` whose key is not in ``keys`` (repeats allowed),
+    with nulls for the other columns of ``right``."""
+    absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name != key]
+    return left.join(keys.distinct(), key, "left_anti").select(*left.columns, *absent)
 
 
 def fallback_rule(name: Column, ddd: Column, rules=codes.FALLBACK_RULES) -> Column:
@@ -162,11 +175,14 @@ def sort_spine(spine: DataFrame) -> DataFrame:
 
 
 def build_spine(vmp: DataFrame, bnf: DataFrame, validate: bool = True, sort: bool = False,
-                fallback_unit_first: bool = False) -> DataFrame:
+                fallback_unit_first: bool = False, stage: str | None = None) -> DataFrame:
     """Products joined to classification records, typed and patched.
 
     ``validate`` raises :class:`DuplicateKeyError` when a product key is
     repeated (one job over the key column). ``sort`` adds the global order.
+    ``stage`` names a folder on shared storage for the matched rows (see the
+    module docstring); it must outlive the returned DataFrame. Without it the
+    result is one lazy plan.
     """
     if validate:
         assert_unique(vmp, "vpid")
@@ -175,8 +191,21 @@ def build_spine(vmp: DataFrame, bnf: DataFrame, validate: bool = True, sort: boo
     # above the join with every alias inlined; parsing here keeps the text
     # parsing out of those inlined expressions.
     bnf = parse_dose(bnf)
-    spine = type_and_patch(join_one_to_many(vmp, bnf, "vpid"), fallback_unit_first)
-    spine = spine.select(*[c for c in SPINE_COLUMNS if c in spine.columns])
+
+    def finished(joined: DataFrame) -> DataFrame:
+        typed = type_and_patch(joined, fallback_unit_first)
+        return typed.select(*[c for c in SPINE_COLUMNS if c in typed.columns])
+
+    if stage is None:
+        spine = finished(join_one_to_many(vmp, bnf, "vpid"))
+    else:
+        if vmp.schema["vpid"].dataType != bnf.schema["vpid"].dataType:
+            raise ValueError("a staged build needs vpid of one type in both tables")
+        matched = finished(matched_rows(vmp, bnf))
+        matched.write.mode("overwrite").parquet(stage)
+        matched = matched.sparkSession.read.schema(matched.schema).parquet(stage)
+        keys = matched.select(F.col("vpid").cast(bnf.schema["vpid"].dataType).alias("vpid"))
+        spine = matched.unionByName(finished(unmatched_rows(vmp, bnf, keys)))
     return sort_spine(spine) if sort else spine
 
 

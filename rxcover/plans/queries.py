@@ -221,7 +221,7 @@ def q_spine(spark, sf):
 
 
 def q_spine_sorted(spark, sf):
-    return spine(spark, sf, sort=True)
+    return spine(spark, sf, sort=True, stage=run_path(spark, "matched"))
 
 
 def q_spine_unit_first(spark, sf):

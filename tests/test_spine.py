@@ -105,3 +105,60 @@ def test_sort_splits_a_hot_group_of_copies(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
     assert sum(sizes) == 50_000 and max(sizes) < 25_000
     assert rows == sorted(rows)
+
+
+def counted(spark, df):
+    """``df`` and an accumulator of the rows that jobs read from it."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf
+
+    return df.mapInPandas(run, df.schema), seen
+
+
+def test_staged_build_reads_classifications_once(spark, records, tmp_path):
+    """One scan, though rows are joined, told apart and sorted; a lazy sort
+    reads them three times."""
+    vmp, bnf = records
+    bnf = spark.createDataFrame(bnf.collect() * 40, bnf.schema)
+    once, seen = counted(spark, bnf)
+    got = build_spine(vmp, once, sort=True, stage=str(tmp_path / "stage"))
+    rows = [tuple(r) for r in got.collect()]
+    assert seen.value == bnf.count()
+    lazy, often = counted(spark, bnf)
+    assert rows == [tuple(r) for r in build_spine(vmp, lazy, sort=True).collect()]
+    assert often.value > bnf.count()
+
+
+@pytest.mark.parametrize("first", [False, True])
+@pytest.mark.parametrize("sort", [False, True])
+def test_staged_build_equals_lazy_build(spark, records, tmp_path, first, sort):
+    vmp, bnf = records
+    vmp = vmp.unionByName(vmp.limit(1).withColumn("vpid", F.lit(None).cast("string")))
+    for n, (v, b) in enumerate([(vmp, bnf), (vmp, bnf.limit(0)), (vmp.limit(0), bnf), (vmp, bnf.where("vpid = '999'")),
+                                (vmp, bnf.withColumn("vpid", F.when(F.col("vpid") != "444", F.col("vpid"))))]):
+        lazy = build_spine(v, b, fallback_unit_first=first, sort=sort)
+        staged = build_spine(v, b, fallback_unit_first=first, sort=sort, stage=str(tmp_path / f"s{n}"))
+        assert staged.columns == lazy.columns and staged.dtypes == lazy.dtypes
+        assert table(staged) == table(lazy)
+
+
+def test_staged_build_of_number_keys(spark, tmp_path):
+    vmp = spark.createDataFrame([(k, f"n{k}", "", "") for k in (7, 8, 10)], "vpid int, vmp_nm string, vtmid string, vpid_prev string")
+    bnf = spark.createDataFrame([(k, "b", "a", "1", "g") for k in (7, 8, 8, 9)],
+                                "vpid int, bnf_code string, atc_code string, ddd string, ddd_uom string")
+    lazy, staged = build_spine(vmp, bnf), build_spine(vmp, bnf, stage=str(tmp_path / "s"))
+    assert len(table(lazy)) == 4 and table(staged) == table(lazy)
+    with pytest.raises(ValueError, match="one type"):
+        build_spine(vmp, bnf.withColumn("vpid", F.col("vpid").cast("string")), stage=str(tmp_path / "t"))
+
+
+def test_staged_build_after_a_failed_one(spark, records, tmp_path):
+    """What a failed build left in the stage folder is not read."""
+    vmp, bnf = records
+    stage = str(tmp_path / "s")
+    build_spine(vmp, bnf.withColumn("atc_code", F.lit("OLD")), stage=stage)
+    assert table(build_spine(vmp, bnf, stage=stage)) == table(build_spine(vmp, bnf))
