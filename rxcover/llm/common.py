@@ -126,10 +126,12 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     mark = None
     for _ in range(rounds):
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        # least neighbours are stored: a hot node's side of a join with a
+        # plain table can be split, with an aggregate it can't
+        low = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "cc-least")
+        large = stored(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")), "cc-large")
         # small star: every node's smaller neighbours and itself to the least
-        low2 = large.groupBy("u").agg(F.min("v").alias("m"))
+        low2 = stored(large.groupBy("u").agg(F.min("v").alias("m")), "cc-least")
         small = (large.join(low2, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(low2.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
         e = stored(small, "cc")

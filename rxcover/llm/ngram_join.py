@@ -270,7 +270,8 @@ def ngram_join(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) -> Da
     """``doc_id, n_shingles, component_id`` per row: rows link when their
     n-gram sets have a Jaccard similarity of ``num / den`` or more."""
     rows = classified(docs, n, num, den).withColumn("n", F.col("n").cast("long"))
-    least = rows.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("component_id"))
+    # stored, so that a hot component's rows can be split in the join
+    least = stored(rows.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("component_id")), "shingle-least")
     linked = rows.where("c is not null").join(least, "c").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return linked.unionByName(rows.where("c is null").select("doc_id", F.col("n").alias("n_shingles"),
                                                              F.col("doc_id").alias("component_id")))
