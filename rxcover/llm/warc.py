@@ -7,7 +7,8 @@ record and continuation records. Files are written by Spark's text sink, so a
 lost task is simply run again and only committed files are visible.
 
 Reading: the record marker is the line separator of Spark's text source, so
-archives are split and scanned in parallel with memory for one record. Whole
+archives are scanned in parallel, one gzip file a task, with memory for one
+record. Whole
 records are decoded where they are read; only segments are shuffled, by
 origin identifier, ordered by segment number, checked against the total
 length and decoded.
