@@ -14,9 +14,10 @@ blocks, and pairs are discarded by bounds that follow from their sizes:
    In a longer column, each class is paired with three leaders of it.
 4. The surviving pairs' whole sets are compared exactly. Components follow.
 5. A longer column whose classes are not all in one component by then is
-   multiplied in blocks: classes outside its largest component against all
-   its classes, accumulating overlaps over slices of n-grams. This settles
-   all links that leaders can't show.
+   multiplied in blocks: classes outside its largest component against its
+   classes of the same and the neighbouring bands of sizes (others are too
+   large or too small to link), accumulating overlaps over slices of n-grams.
+   This settles all links that leaders can't show.
 
 No pairs within a group of copies are made, no column is gathered whole, and
 what is broadcast has a fixed size.
@@ -31,11 +32,12 @@ only if it has none).
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rxcover.llm.common import bit_filter, components, free_names, mix64, stored
@@ -67,6 +69,12 @@ def leading(size: int, num: int, den: int) -> int:
     return min(size, size - -(-num * size // den) + shared_floor(size))
 
 
+def band(size: Column, num: int, den: int) -> Column:
+    """Bands of sizes: linked sets lie in the same or in neighbouring bands."""
+    # a little wider than den / num, so that rounding can't part linked sizes by two
+    return F.floor(F.log(size) / math.log(1.0001 * den / num)).cast("int")
+
+
 def text_code():
     """Tells rows of one doc_id with different texts apart."""
     return F.xxhash64(F.col("text"))
@@ -192,22 +200,35 @@ def _strays(long_rows: DataFrame, edges: DataFrame, sets: DataFrame,
     roots = components(edges).select(F.col("node").alias("sig"), "component")
     rows = long_rows.join(roots, "sig", "left").withColumn("c", F.coalesce("component", "sig")).drop("component")
     parts = rows.groupBy("h", "c").agg(F.count(F.lit(1)).alias("k"))
-    top = parts.groupBy("h").agg(F.max(F.struct("k", "c")).alias("top"), F.sum("k").alias("all"))
-    top = top.where("top.k < all").select("h", F.col("top.c").alias("most"), (F.col("all") - F.col("top.k")).alias("rest"), "all")
+    top = stored(parts.groupBy("h").agg(F.max(F.struct("k", "c")).alias("top"), F.sum("k").alias("all"))
+                 .where("top.k < all").select("h", F.col("top.c").alias("most")), "stray-tops")
     rows = rows.join(top, "h")
     # columns of the same classes are one column
     same = rows.groupBy("h").agg(F.bit_xor(F.xxhash64("sig")).alias("p"), F.bit_xor(F.xxhash64("sig", F.lit(1))).alias("q"),
                                  F.count(F.lit(1)).alias("k")).groupBy("p", "q", "k").agg(F.min("h").alias("h"))
-    rows = stored(rows.join(same.select("h"), "h", "left_semi").withColumns({
-        "nr": F.ceil(F.col("all") / BLOCK).cast("int"), "ns": F.ceil(F.col("rest") / BLOCK).cast("int"),
-        "code": F.xxhash64("sig", F.lit(7))}), "stray-rows")
+    rows = stored(rows.join(same.select("h"), "h", "left_semi").select(
+        "h", "sig", "n", "c", (F.col("c") != F.col("most")).alias("stray"), band(F.col("n"), num, den).alias("v"),
+        F.xxhash64("sig", F.lit(7)).alias("code")), "stray-rows")
+    # a band's classes against the strays of its own and the next bands
+    near = Window.partitionBy("h").orderBy("v").rangeBetween(-1, 1)
+    cells = stored(rows.groupBy("h", "v").agg(F.count(F.lit(1)).alias("k"), F.count_if("stray").alias("s"))
+                   .withColumn("s", F.sum("s").over(near)).where("s > 0")
+                   .select("h", "v", F.ceil(F.col("k") / BLOCK).cast("int").alias("nr"),
+                           F.ceil(F.col("s") / BLOCK).cast("int").alias("ns")), "stray-cells")
     rb, sb = F.pmod("code", "nr").cast("int"), F.pmod("code", "ns").cast("int")
     upto = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    own = rows.select("h", rb.alias("rb"), upto("ns").alias("sb"), F.lit(False).alias("stray"), "sig", "c", "n")
-    out = rows.where("c <> most").select("h", upto("nr").alias("rb"), sb.alias("sb"), F.lit(True).alias("stray"), "sig", "c", "n")
+    own = rows.join(cells, ["h", "v"]).select(
+        "h", "v", rb.alias("rb"), upto("ns").alias("sb"), "stray", sb.alias("home"), F.lit(True).alias("own"), "sig", "c", "n")
+    own = own.withColumn("stray", F.col("stray") & (F.col("sb") == F.col("home")))
+    away = rows.where("stray").withColumns({"home": F.col("v"), "v": F.explode(F.array(F.col("v") - 1, "v", F.col("v") + 1))})
+    away = away.join(cells, ["h", "v"]).select(
+        "h", "v", upto("nr").alias("rb"), sb.alias("sb"), "stray",
+        F.when(F.col("v") == F.col("home"), rb).otherwise(-1).alias("home"), F.lit(False).alias("own"), "sig", "c", "n")
+    # in the one block where a stray is on both sides, its own row serves
+    away = away.where("rb <> home")
 
     def product(pdf: pd.DataFrame) -> pd.DataFrame:
-        r, q = pdf[~pdf["stray"]], pdf[pdf["stray"]]
+        r, q = pdf[pdf["own"]], pdf[pdf["stray"]]
         if not len(r) or not len(q):
             return pd.DataFrame({"a": [], "b": []}, dtype="int64")
         both = overlaps([np.asarray(x) for x in r["grams"]], [np.asarray(x) for x in q["grams"]])
@@ -217,8 +238,8 @@ def _strays(long_rows: DataFrame, edges: DataFrame, sets: DataFrame,
                               "y": q["c"].to_numpy()[j]})
         return found.drop_duplicates(["x", "y"])[["a", "b"]]
 
-    blocks = own.unionByName(out).join(sets, "sig")
-    return blocks.groupBy("h", "rb", "sb").applyInPandas(product, "a long, b long")
+    blocks = own.unionByName(away).drop("home").join(sets, "sig")
+    return blocks.groupBy("h", "v", "rb", "sb").applyInPandas(product, "a long, b long")
 
 
 def classified(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
@@ -247,9 +268,9 @@ def classified(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
 
     # long columns: every class with three leaders
     ranked = long_rows.join(in_long, "sig")
-    heads = ranked.groupBy("h").agg(F.array(
+    heads = stored(ranked.groupBy("h").agg(F.array(
         F.max(F.struct("w", "sig", "n")), F.min(F.struct(F.col("n").alias("w"), "sig", "n")),
-        F.max(F.struct(F.col("n").alias("w"), "sig", "n"))).alias("l"))
+        F.max(F.struct(F.col("n").alias("w"), "sig", "n"))).alias("l")), "shingle-leaders")
     led = long_rows.join(heads.select("h", F.explode("l").alias("l")), "h").where(
         (F.col("sig") != F.col("l.sig")) & fit(F.col("n"), F.col("l.n"))).select(
         F.least("sig", "l.sig").alias("a"), F.greatest("sig", "l.sig").alias("b"))

@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from rxcover.llm import ngram_join as nj
 from rxcover.llm.common import components
 
@@ -86,3 +87,29 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(100, 140)] + [(7, i) for i in range(8, 30)] + [(50, 60), (61, 60), (5, 5)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 100 for i in range(100, 141)}, **{i: 7 for i in range(7, 30)}, 50: 50, 60: 50, 61: 50}
+
+
+@pytest.mark.parametrize("num,den", [(85, 100), (80, 100), (1, 2), (100, 100)])
+def test_linked_sizes_lie_in_neighbouring_bands(spark, num, den):
+    rows = spark.range(1, 1500).select("id", nj.band(F.col("id"), num, den).alias("v")).orderBy("id").collect()
+    size, v = np.array([r.id for r in rows]), np.array([r.v for r in rows])
+    linked = den * np.minimum.outer(size, size) >= num * np.maximum.outer(size, size)
+    assert np.abs(np.subtract.outer(v, v))[linked].max() <= 1
+
+
+def test_a_common_line_in_texts_of_all_sizes(spark, make_docs, monkeypatch):
+    """One long column over many bands and blocks; few of its pairs link."""
+    monkeypatch.setattr(nj, "BLOCK", 4)
+    monkeypatch.setattr(nj, "SHORT", 4)
+    rng = random.Random(3)
+    line = [f"l{i}" for i in range(12)]
+    rows = []
+    for size in [0, 1, 2, 3, 5, 8, 13, 20, 30, 45, 70, 100, 150]:
+        for _ in range(4):
+            base = line + [f"w{rng.randrange(50)}" for _ in range(size)]
+            near = base + [f"v{i}" for i in range(len(base) // 8)]
+            rows += [" ".join(base), " ".join(near), " ".join(near[1:])]
+    rows = list(enumerate(rows))
+    rng.shuffle(rows)
+    got = nj.ngram_join(make_docs(rows))
+    assert sorted([tuple(r) for r in got.collect()], key=repr) == brute(rows)
