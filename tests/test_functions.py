@@ -17,6 +17,7 @@ def evaluate(spark, values, expr, typ="string"):
     return [r[0] for r in df.orderBy("i").select(expr(F.col("v"))).collect()]
 
 
+# FIXED VALUES: inputs and results that must stay exactly as written.
 def test_strip_namespace_reference_cases(spark):
     cases = ["{http://www.w3.org/2001/XMLSchema}tag", "tag", "{namespace}element", ""]
     assert evaluate(spark, cases, fx.strip_namespace) == ["tag", "tag", "element", ""]
@@ -31,6 +32,7 @@ def test_trim_text_matches_python_strip(spark):
     assert evaluate(spark, values + [None], fx.trim_text) == [v.strip() for v in values] + [None]
 
 
+# FIXED VALUES: inputs and results that must stay exactly as written.
 @pytest.mark.parametrize("value,unit,expected", [
     (1.5, "g", 1500.0), (500.0, "mg", 500.0), (250.0, "microgram", 0.25), (100.0, "mcg", 0.1),
     (2.0, " G ", 2000.0), (3.0, "MG", 3.0),
@@ -72,6 +74,7 @@ def test_atc_levels_and_flags(spark):
     assert evaluate(spark, vals, fx.has_code) == [True, False, False, True]
 
 
+# FIXED VALUES: inputs and results that must stay exactly as written.
 def test_antibiotic_flag_reference_rows(spark):
     df = spark.createDataFrame(
         [("1", "J01CA04", "050101"), ("2", None, "050102"), ("3", "N02BE01", "040701"), ("4", None, None)],
