@@ -7,6 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from rxcover.llm import suffix_dedup as sd
+from rxcover.llm.queries import QUERIES
 
 
 @settings(max_examples=500, deadline=None)
@@ -82,3 +83,20 @@ def test_hot_anchor_at_full_width(spark, make_docs):
     rows = list(enumerate(letters(100) + core + (tails[i % 3] if i % 7 == 0 else letters(90)) for i in range(sd.SPLIT + 44)))
     got = sd.remove_repeats(make_docs(rows), 400)
     assert sorted([tuple(r)[:5] for r in got.collect()], key=repr) == brute(rows, 400)
+
+
+def test_passages_of_over_fifty_words(spark, make_docs, tmp_path):
+    """A passage of over 50 words goes from 400 bytes on and stays below; other texts are left alone."""
+    rng = random.Random(17)
+    text = lambda n, size: " ".join("".join(rng.choices("abcdefghijklmnop", k=size)) for _ in range(n))
+    passages = [text(52, 5), text(60, 6)[:399], text(60, 6)[:400], text(60, 7), text(90, 8)]
+    assert [len(p) for p in passages] == [311, 399, 400, 479, 809] and all(len(p.split()) > 50 for p in passages)
+    held = [(p, f"{text(40, 6)} {k}{p}{k} {text(40, 6)}") for p in passages for k in range(3)]
+    held += [("", text(80, 6)) for _ in range(10)]
+    make_docs([(i, t) for i, (_, t) in enumerate(held)]).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in QUERIES["op10_suffix_dedup"](spark, str(tmp_path)).collect()}
+    assert len(got) == len(held)
+    for i, (p, t) in enumerate(held):
+        gone = p if len(p) >= 400 else ""
+        kept = hashlib.sha256(t.replace(gone, "").encode()).hexdigest()
+        assert (got[i].n_bytes, got[i].n_removed, got[i].n_spans, got[i].kept_sha256) == (len(t), len(gone), bool(gone), kept)
